@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import strip
+from millrace.functions.text import let, strip
 
 # Keys under which parse results keep text and page numbers, and the element types that are titles.
 CONTENT_KEYS = ["content", "text"]
@@ -17,17 +17,21 @@ NODE_TYPE = "array<struct<place:array<int>,page:int,fields:map<string,variant>,i
 
 def _node(place: Column, page: Column, value: Column) -> Column:
     """A node with its place in reading order. An object changes the current page for itself and what lies below it."""
-    fields = value.try_cast("map<string,variant>")
-    own_page = F.lit(None).cast("int")
-    for key in reversed(PAGE_KEYS):
-        # The first page key that is present decides, even when its value is no number.
-        own_page = F.when(F.map_contains_key(fields, key), F.try_variant_get(value, f"$.{key}", "int")).otherwise(own_page)
-    return F.struct(
-        place.alias("place"),
-        F.coalesce(own_page, page).alias("page"),
-        fields.alias("fields"),
-        value.try_cast("array<variant>").alias("items"),
-    )
+
+    def build(fields: Column) -> Column:
+        own_page = F.lit(None).cast("int")
+        for key in reversed(PAGE_KEYS):
+            # The first page key that is present decides, even when its value is no number.
+            found = F.try_variant_get(value, f"$.{key}", "int")
+            own_page = F.when(F.map_contains_key(fields, key), found).otherwise(own_page)
+        return F.struct(
+            place.alias("place"),
+            F.coalesce(F.when(fields.isNotNull(), own_page), page).alias("page"),
+            fields.alias("fields"),
+            F.when(fields.isNull(), value.try_cast("array<variant>")).alias("items"),
+        )
+
+    return let(value.try_cast("map<string,variant>"), build)
 
 
 def _children(node: Column) -> Column:
@@ -37,23 +41,26 @@ def _children(node: Column) -> Column:
     )
 
 
+def _is_open(node: Column) -> Column:
+    return node["fields"].isNotNull() | node["items"].isNotNull()
+
+
 def _text(node: Column) -> Column:
     """The first usable text of an object: a string that is not blank."""
-    found = []
-    for key in CONTENT_KEYS:
-        value = F.get(F.map_values(F.map_filter(node["fields"], lambda k, _: k == key)), F.lit(0))
+
+    def usable(value: Column) -> Column:
         is_string = F.schema_of_variant(value) == "STRING"
-        text = strip(F.when(is_string, value.try_cast("string")))
-        found.append(F.when(text != "", text))
-    return F.coalesce(*found)
+        return let(strip(F.when(is_string, value.try_cast("string"))), lambda text: F.when(text != "", text))
+
+    return F.coalesce(*[let(F.try_element_at(node["fields"], F.lit(key)), usable) for key in CONTENT_KEYS])
 
 
 def _kind(node: Column) -> Column:
-    value = F.get(F.map_values(F.map_filter(node["fields"], lambda k, _: k == "type")), F.lit(0))
+    value = F.try_element_at(node["fields"], F.lit("type"))
     return F.lower(strip(F.coalesce(value.try_cast("string"), F.lit(""))))
 
 
-def walk_elements(df: DataFrame, parsed: str, out: str = "elements", max_depth: int = 8) -> DataFrame:
+def walk_elements(df: DataFrame, parsed: str, out: str = "elements", max_depth: int = 6) -> DataFrame:
     """Add ``array<struct<page, type, text>>`` of all text found in the VARIANT column ``parsed``, depth first.
 
     Objects and lists are opened level by level, one column per level, so neither a shuffle nor state is needed and the
@@ -69,9 +76,10 @@ def walk_elements(df: DataFrame, parsed: str, out: str = "elements", max_depth:
         name = f"_level{depth}"
         df = df.withColumn(name, level.cast(NODE_TYPE))
         names.append(name)
-        level = F.flatten(F.transform(F.col(name), _children))
-    below = F.flatten(F.transform(F.col(names[-1]), _children))
-    is_open = F.exists(below, lambda n: n["fields"].isNotNull() | n["items"].isNotNull())
+        # Only objects and lists are opened further; on most levels that leaves nothing to do.
+        level = F.flatten(F.transform(F.filter(F.col(name), _is_open), _children))
+    below = F.flatten(F.transform(F.filter(F.col(names[-1]), _is_open), _children))
+    is_open = F.exists(below, _is_open)
     texts = F.concat(
         *[
             F.filter(
@@ -90,7 +98,7 @@ def walk_elements(df: DataFrame, parsed: str, out: str = "elements", max_depth:
         ]
     )
     elements = F.transform(
-        F.array_sort(texts),
+        F.sort_array(texts),
         lambda n: F.struct(n["page"].alias("page"), n["type"].alias("type"), n["text"].alias("text")),
     )
     too_deep = F.raise_error(F.lit(f"nested deeper than {max_depth} levels; raise max_depth"))

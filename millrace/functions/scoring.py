@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 
 ROUND = 6
 CELLS = 4_000_000
+DENSE_KEYS = 8192
 
 
 class TopLists:
@@ -80,6 +81,8 @@ def sparse_scorer(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = TopLists(weights.shape[1], k)
+        # With few keys, a product of full matrices is faster than adding up the entries one by one.
+        dense = len(keys) <= DENSE_KEYS
         for batch in batches:
             ids = np.array(batch.column(0).to_pylist(), dtype=object)
             entries = batch.column(1)
@@ -92,11 +95,19 @@ def sparse_scorer(
             known = place >= 0
             place, value, owner = place[known], value[known], owner[known]
             rows, starts, lengths = np.unique(owner, return_index=True, return_counts=True)
-            for first, last in _row_blocks(lengths, weights.shape[1]):
+            width = len(keys) if dense else weights.shape[1]
+            for first, last in _row_blocks(np.ones_like(lengths) if dense else lengths, width):
                 begin = starts[first]
                 end = starts[last] if last < len(starts) else len(place)
-                parts = weights[place[begin:end]] * value[begin:end, None]
-                best.offer(ids[rows[first:last]], np.add.reduceat(parts, starts[first:last] - begin, axis=0), True)
+                if dense:
+                    block = np.zeros((last - first, len(keys)))
+                    at = np.repeat(np.arange(last - first), lengths[first:last])
+                    np.add.at(block, (at, place[begin:end]), value[begin:end])
+                    scores = block @ weights
+                else:
+                    parts = weights[place[begin:end]] * value[begin:end, None]
+                    scores = np.add.reduceat(parts, starts[first:last] - begin, axis=0)
+                best.offer(ids[rows[first:last]], scores, True)
         yield best.batch(query_ids, schema)
 
     return run

@@ -1,86 +1,77 @@
-"""Sparse text vectors: signed feature hashing with inverse document frequencies kept by hash slot."""
+"""Sparse text vectors by signed feature hashing, one Arrow batch at a time.
+
+A term is hashed once per batch and not once per occurrence, which is why this is not a built-in expression.
+Inverse document frequencies are kept by hash slot: a table of fixed size, whatever the vocabulary.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Callable, Iterator
+from hashlib import md5
 
-from millrace.functions.text import let
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 DIMENSIONS = 1024
 SLOTS = 65536
 
+Batches = Iterator[pa.RecordBatch]
+VECTOR = pa.list_(pa.struct([("dim", pa.int32()), ("value", pa.float64())]))
+SLOT_COUNTS = pa.schema([("slot", pa.int32()), ("frequency", pa.int64())])
 
-def _hex_number(digest: Column, start: int, digits: int) -> Column:
-    return F.conv(F.substring(digest, start, digits), 16, 10).cast("long")
-
-
-def slot(term: Column, slots: int = SLOTS) -> Column:
-    """The hash slot under which a term's document frequency is counted. Slots bound the table, whatever the vocabulary."""
-    return (_hex_number(F.md5(term), 17, 8) % slots).cast("int")
-
-
-def dimension(digest: Column, dims: int = DIMENSIONS) -> Column:
-    return (_hex_number(digest, 1, 8) % dims).cast("int")
-
-
-def sign(digest: Column) -> Column:
-    return F.when(_hex_number(digest, 9, 1) % 2 == 0, 1.0).otherwise(-1.0)
 
+def idf_weights(documents: int, frequencies: np.ndarray) -> np.ndarray:
+    return np.log(1 + (documents - frequencies + 0.5) / (frequencies + 0.5))
 
-def idf(documents: Column, frequency: Column) -> Column:
-    return F.log(1 + (documents - frequency + 0.5) / (frequency + 0.5))
-
-
-def hashed_vector(terms: Column, slot_idf: Column, dims: int = DIMENSIONS, slots: int = SLOTS) -> Column:
-    """``array<struct<dim, value>>`` of unit length from ``array<struct<term, tf>>``, sorted by dimension.
-
-    ``slot_idf`` is the array of weights by slot. Terms that fall on one dimension are added up inside the row.
-    """
-    hashed = F.transform(
-        terms,
-        lambda t: let(
-            F.md5(t["term"]),
-            lambda digest: F.struct(
-                dimension(digest, dims).alias("dim"),
-                (sign(digest) * t["tf"] * F.get(slot_idf, (_hex_number(digest, 17, 8) % slots).cast("int"))).alias("value"),
-            ),
-        ),
-    )
-
-    def merge(ordered: Column) -> Column:
-        size = F.size(ordered)
-        firsts = F.filter(
-            F.transform(ordered, lambda _, i: i),
-            lambda i: (i == 0) | (F.get(ordered, i)["dim"] != F.get(ordered, i - 1)["dim"]),
-        )
-        return let(
-            firsts,
-            lambda starts: F.transform(
-                starts,
-                lambda start, n: F.struct(
-                    F.get(ordered, start)["dim"].alias("dim"),
-                    F.aggregate(
-                        F.slice(ordered, start + 1, F.coalesce(F.get(starts, n + 1), size) - start),
-                        F.lit(0.0),
-                        lambda total, e: total + e["value"],
-                    ).alias("value"),
-                ),
-            ),
-        )
 
-    return unit_length(let(F.array_sort(hashed), merge))
+def _hashed(terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every entry of a column of ``list<struct<term, tf>>``: its row, its tf and the four words of its digest."""
+    flat = terms.flatten()
+    coded = flat.field(0).dictionary_encode()
+    digests = b"".join(md5(term.encode()).digest() for term in coded.dictionary.to_pylist())
+    words = np.frombuffer(digests, dtype=">u4").reshape(-1, 4).astype(np.int64)
+    lengths = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
+    tf = flat.field(1).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(terms)), lengths), tf, words[coded.indices.to_numpy(zero_copy_only=False)]
 
 
-def unit_length(entries: Column) -> Column:
-    """Divide by the length of the vector; entries that are zero are left out."""
+def slot_counter(slots: int) -> Callable[[Batches], Batches]:
+    """How many rows of a partition have a term in each slot; the only column is the list of terms."""
 
-    def scale(found: Column) -> Column:
-        return let(
-            F.sqrt(F.aggregate(found, F.lit(0.0), lambda total, e: total + e["value"] * e["value"])),
-            lambda length: F.transform(
-                found, lambda e: F.struct(e["dim"].alias("dim"), (e["value"] / length).alias("value"))
-            ),
+    def run(batches: Batches) -> Batches:
+        counts = np.zeros(slots, dtype=np.int64)
+        for batch in batches:
+            owner, _, words = _hashed(batch.column(0))
+            seen = np.unique(owner * slots + words[:, 2] % slots)
+            counts += np.bincount(seen % slots, minlength=slots)
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found.astype(np.int32)), pa.array(counts[found])], schema=SLOT_COUNTS
         )
 
-    return let(F.filter(entries, lambda e: e["value"] != 0.0), scale)
+    return run
+
+
+def vector_adder(weights: np.ndarray, dims: int, at: int) -> Callable[[Batches], Batches]:
+    """Add the unit vector, a list of (dim, value) by dimension, of the terms in column ``at``."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            owner, tf, words = _hashed(batch.column(at))
+            sign = np.where((words[:, 1] >> 28) % 2 == 0, 1.0, -1.0)
+            value = sign * tf * weights[words[:, 2] % len(weights)]
+            places, which = np.unique(owner * dims + words[:, 0] % dims, return_inverse=True)
+            total = np.bincount(which, weights=value, minlength=len(places))
+            places, total = places[total != 0], total[total != 0]
+            rows = places // dims
+            length = np.sqrt(np.bincount(rows, weights=total * total, minlength=batch.num_rows))
+            ends = np.cumsum(np.bincount(rows, minlength=batch.num_rows))
+            entries = pa.StructArray.from_arrays(
+                [pa.array((places % dims).astype(np.int32)), pa.array(total / length[rows])], names=["dim", "value"]
+            )
+            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+            vector = pa.ListArray.from_arrays(offsets, entries).cast(VECTOR)
+            yield pa.RecordBatch.from_arrays([*batch.columns, vector], names=[*batch.schema.names, "vector"])
+
+    return run

@@ -107,7 +107,7 @@ def assemble_pages(elements: Column) -> Column:
     return let(
         F.coalesce(document_title, F.lit("")),
         lambda fallback: F.transform(
-            let(F.array_sort(placed), cut),
+            let(F.sort_array(placed), cut),
             lambda p: F.struct(
                 p["page"].alias("page"), F.coalesce(p["title"], fallback).alias("title"), p["text"].alias("text")
             ),

@@ -7,18 +7,23 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from millrace.functions import scoring
+from millrace.functions import scoring, vectors
 from millrace.functions.text import term_counts, tokens
-from millrace.functions.vectors import DIMENSIONS, SLOTS, hashed_vector, idf, slot
+from millrace.functions.vectors import DIMENSIONS, SLOTS
 from millrace.operators.documents import CITATION_COLUMNS
 from millrace.session import written
 from millrace.sizing import lookup_join
 
+# The scoring code travels with each task, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(scoring)
+cloudpickle.register_pickle_by_value(vectors)
+
 # The usual BM25 constants, and the constant of reciprocal rank fusion (Cormack, Clarke and Buettcher, 2009).
 K1 = 1.2
 B = 0.75
@@ -29,6 +34,11 @@ POOL = 50
 BLOCK_QUERIES = 512
 BLOCK_ENTRIES = 400_000
 BLOCK_CELLS = 16_000_000
+PUSHED_BUCKETS = 10_000
+
+
+def idf(documents: Column, frequency: Column) -> Column:
+    return F.log(1 + (documents - frequency + 0.5) / (frequency + 0.5))
 
 
 def rank_hits(hits: DataFrame, k: int, id_col: str) -> DataFrame:
@@ -52,36 +62,26 @@ def index_terms(chunks: DataFrame, id_col: str = "chunk_id", text: str = "chunk_
     )
 
 
-def slot_weights(index: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """One row with the array ``weights`` of inverse document frequencies by hash slot.
-
-    The table has ``slots`` entries whatever the vocabulary, so weighting the chunks needs no join on terms.
-    """
-    total = index.agg(F.count(F.lit(1))).scalar()
-    found = (
-        index.select(
-            F.explode(F.array_distinct(F.transform("terms", lambda t: slot(t["term"], slots)))).alias("slot")
-        )
-        .groupBy("slot")
-        .agg(F.count(F.lit(1)).alias("frequency"))
-    )
-    every = index.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot")).join(found, "slot", "left")
-    weighted = every.select("slot", idf(total, F.coalesce("frequency", F.lit(0))).alias("weight"))
-    ordered = F.array_sort(F.collect_list(F.struct("slot", "weight")))
-    return weighted.agg(F.transform(ordered, lambda e: e["weight"]).alias("weights"))
+def slot_weights(index: DataFrame, slots: int = SLOTS) -> np.ndarray:
+    """The inverse document frequency of each hash slot. ``slots`` numbers come to the driver, whatever the data."""
+    counted = index.select("terms").mapInArrow(vectors.slot_counter(slots), "slot int, frequency long")
+    table = counted.groupBy("slot").agg(F.sum("frequency").alias("frequency")).toArrow()
+    frequencies = np.zeros(slots)
+    frequencies[table.column("slot").to_numpy()] = table.column("frequency").to_numpy()
+    return vectors.idf_weights(index.count(), frequencies)
 
 
-def add_vectors(index: DataFrame, weights: DataFrame, dims: int = DIMENSIONS, slots: int = SLOTS) -> DataFrame:
-    """``index`` with the unit ``vector`` (dim, value) of each row; ``weights`` comes from :func:`slot_weights`."""
-    # The weights come in as a column because a subquery may not stand inside a lambda.
-    weighted = index.withColumn("_weights", weights.scalar())
-    return weighted.select(*index.columns, hashed_vector(F.col("terms"), F.col("_weights"), dims, slots).alias("vector"))
+def add_vectors(rows: DataFrame, weights: np.ndarray, dims: int = DIMENSIONS) -> DataFrame:
+    """``rows`` with the unit ``vector`` (dim, value) of their terms; ``weights`` comes from :func:`slot_weights`."""
+    vector = T.ArrayType(T.StructType([T.StructField("dim", T.IntegerType()), T.StructField("value", T.DoubleType())]))
+    schema = T.StructType([*rows.schema.fields, T.StructField("vector", vector)])
+    return rows.mapInArrow(vectors.vector_adder(weights, dims, rows.columns.index("terms")), schema)
 
 
-def build_index(chunks: DataFrame, dims: int = DIMENSIONS) -> tuple[DataFrame, DataFrame]:
+def build_index(chunks: DataFrame, dims: int = DIMENSIONS) -> tuple[DataFrame, np.ndarray]:
     """The written index with terms and vectors, and the slot weights that questions need as well."""
     terms = written(index_terms(chunks), "terms")
-    weights = written(slot_weights(terms), "slots")
+    weights = slot_weights(terms)
     return written(add_vectors(terms, weights, dims), "index"), weights
 
 
@@ -92,17 +92,17 @@ def question_terms(questions: DataFrame, id_col: str, text: str) -> DataFrame:
 # --- scoring -----------------------------------------------------------------------------------------------------
 
 
-def _blocks(queries: DataFrame, entries: Column | None) -> list[DataFrame]:
-    """Split the questions by a hash of their id into blocks that are small enough to hand to every task."""
-    size = queries.agg(
-        F.count(F.lit(1)).alias("queries"),
-        (F.sum(F.size(entries)) if entries is not None else F.count(F.lit(1))).alias("entries"),
-    ).first()
-    parts = max(-(-size["queries"] // BLOCK_QUERIES), -(-(size["entries"] or 0) // BLOCK_ENTRIES), 1)
-    if parts == 1:
-        return [queries]
+def _bounded(rows: DataFrame, limit: int) -> list[pa.Table]:
+    """The rows of the questions, in tables of about ``limit`` rows; a question is never split.
+
+    Usually that is one table. More questions than that are parted by a hash of their id and taken one part at a time.
+    """
+    head = rows.limit(limit + 1).toArrow()
+    if head.num_rows <= limit:
+        return [head]
+    parts = -(-rows.count() // limit)
     block = F.pmod(F.xxhash64("query_id"), F.lit(parts))
-    return [queries.filter(block == n) for n in range(parts)]
+    return [rows.filter(block == n).toArrow() for n in range(parts)]
 
 
 def _hit_schema(rows: DataFrame, id_col: str, queries: DataFrame) -> T.StructType:
@@ -129,8 +129,8 @@ def sparse_top_k(rows: DataFrame, id_col: str, entries: Column, queries: DataFra
     slim = rows.select(id_col, entries.alias("entries"))
     schema = _hit_schema(rows, id_col, queries)
     hits = []
-    for block in _blocks(queries, F.col("entries")):
-        table = block.select("query_id", F.inline("entries")).toDF("query_id", "key", "weight").toArrow()
+    asked = queries.select("query_id", F.inline("entries")).toDF("query_id", "key", "weight")
+    for table in _bounded(asked, BLOCK_ENTRIES):
         for part in _fit(table):
             keys = part.column("key").combine_chunks().unique()
             query_ids = part.column("query_id").combine_chunks().unique()
@@ -142,6 +142,8 @@ def sparse_top_k(rows: DataFrame, id_col: str, entries: Column, queries: DataFra
             np.add.at(weights, at, part.column("weight").to_numpy())
             run = scoring.sparse_scorer(keys, weights, query_ids, k, _arrow(schema))
             hits.append(slim.mapInArrow(run, schema))
+    # Without any key in common there is nothing to find.
+    hits = hits or [rows.sparkSession.createDataFrame([], schema)]
     return rank_hits(reduce(DataFrame.unionAll, hits), k, id_col)
 
 
@@ -149,7 +151,9 @@ def _fit(table: pa.Table) -> list[pa.Table]:
     """Split a block whose questions share so few keys that its table of keys times questions would be too big."""
     query_ids = table.column("query_id").combine_chunks().unique()
     keys = table.column("key").combine_chunks().unique()
-    if len(query_ids) <= 1 or len(keys) * len(query_ids) <= BLOCK_CELLS:
+    if not table.num_rows:
+        return []
+    if len(query_ids) == 1 or len(query_ids) <= BLOCK_QUERIES and len(keys) * len(query_ids) <= BLOCK_CELLS:
         return [table]
     first = pa.compute.is_in(table.column("query_id"), value_set=query_ids[: len(query_ids) // 2])
     return [*_fit(table.filter(first)), *_fit(table.filter(pa.compute.invert(first)))]
@@ -183,13 +187,13 @@ def bm25_top_k(index: DataFrame, questions: DataFrame, k: int, id_col: str = "ch
     return sparse_top_k(measured, id_col, entries, weighted, k)
 
 
-def question_vectors(questions: DataFrame, weights: DataFrame, dims: int = DIMENSIONS) -> DataFrame:
+def question_vectors(questions: DataFrame, weights: np.ndarray, dims: int = DIMENSIONS) -> DataFrame:
     return add_vectors(questions, weights, dims).select("query_id", F.col("vector").alias("entries"))
 
 
-def vector_top_k(index: DataFrame, vectors: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:
+def vector_top_k(index: DataFrame, asked: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:
     """Exact cosine search over the hashed vectors: ``query_id, id, score, rank``."""
-    return sparse_top_k(index, id_col, F.col("vector"), vectors, k)
+    return sparse_top_k(index, id_col, F.col("vector"), asked, k)
 
 
 def fuse(ranked: list[DataFrame], k: int, id_col: str = "chunk_id") -> DataFrame:
@@ -200,12 +204,12 @@ def fuse(ranked: list[DataFrame], k: int, id_col: str = "chunk_id") -> DataFrame
 
 
 def search_all(
-    index: DataFrame, weights: DataFrame, questions: DataFrame, k: int, pool: int = POOL, dims: int = DIMENSIONS
+    index: DataFrame, weights: np.ndarray, questions: DataFrame, k: int, pool: int = POOL, dims: int = DIMENSIONS
 ) -> dict[str, DataFrame]:
     """The ``KEYWORD``, ``ANN`` and ``HYBRID`` answers. The ranked pools are written once and shared."""
-    vectors = question_vectors(questions, weights, dims)
+    asked = question_vectors(questions, weights, dims)
     keyword = written(bm25_top_k(index, questions, max(k, pool)), "keyword")
-    semantic = written(vector_top_k(index, vectors, max(k, pool)), "semantic")
+    semantic = written(vector_top_k(index, asked, max(k, pool)), "semantic")
     top = lambda hits, n: hits.filter(F.col("rank") <= n)
     return {
         "KEYWORD": top(keyword, k),
@@ -221,11 +225,11 @@ def with_citations(hits: DataFrame, chunks: DataFrame) -> DataFrame:
     )
 
 
-def rerank(candidates: DataFrame, index: DataFrame, vectors: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:
+def rerank(candidates: DataFrame, index: DataFrame, asked: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:
     """Second stage: order the candidates of each question by exact cosine."""
     pairs = lookup_join(index.select(id_col, "vector"), candidates.select("query_id", id_col), [id_col])
     left = pairs.select("query_id", id_col, F.inline("vector")).toDF("query_id", id_col, "dim", "value")
-    right = vectors.select("query_id", F.inline("entries")).toDF("query_id", "dim", "asked")
+    right = asked.select("query_id", F.inline("entries")).toDF("query_id", "dim", "asked")
     scores = (
         left.join(right, ["query_id", "dim"], "left")
         .groupBy("query_id", id_col)
@@ -237,23 +241,17 @@ def rerank(candidates: DataFrame, index: DataFrame, vectors: DataFrame, k: int,
 # --- dense vectors -----------------------------------------------------------------------------------------------
 
 
-def _query_matrix(block: DataFrame) -> tuple[np.ndarray, pa.Array]:
-    table = block.select("query_id", "embedding").toArrow()
-    vectors = scoring.matrix(table.column("embedding").combine_chunks())
-    return scoring.unit_rows(vectors), table.column("query_id").combine_chunks()
-
-
-def dense_top_k(vectors: DataFrame, id_col: str, queries: DataFrame, k: int, vector: str = "embedding") -> DataFrame:
+def dense_top_k(rows: DataFrame, id_col: str, queries: DataFrame, k: int, vector: str = "embedding") -> DataFrame:
     """Exact cosine search over dense vectors, with questions ``query_id, embedding``."""
-    slim = vectors.select(id_col, vector)
-    schema = _hit_schema(vectors, id_col, queries)
+    slim = rows.select(id_col, vector)
+    schema = _hit_schema(rows, id_col, queries)
     hits = []
-    for block in _blocks(queries, None):
-        matrix, query_ids = _query_matrix(block)
-        if len(matrix):
-            hits.append(slim.mapInArrow(scoring.dense_scorer(matrix, query_ids, k, _arrow(schema)), schema))
-    if not hits:
-        hits = [vectors.sparkSession.createDataFrame([], schema)]
+    for table in _bounded(queries.select("query_id", "embedding"), BLOCK_QUERIES):
+        if table.num_rows:
+            asked = scoring.unit_rows(scoring.matrix(table.column("embedding").combine_chunks()))
+            query_ids = table.column("query_id").combine_chunks()
+            hits.append(slim.mapInArrow(scoring.dense_scorer(asked, query_ids, k, _arrow(schema)), schema))
+    hits = hits or [rows.sparkSession.createDataFrame([], schema)]
     return rank_hits(reduce(DataFrame.unionAll, hits), k, id_col)
 
 
@@ -267,13 +265,24 @@ def planes(tables: int, bits: int, dims: int) -> np.ndarray:
     )
 
 
-def bucketed(vectors: DataFrame, tables: int, bits: int, dims: int, vector: str = "embedding") -> DataFrame:
-    """One row per vector and hash table: ``table_no, bucket`` in front of the columns given."""
-    others = [c for c in vectors.columns if c != vector]
-    slim = vectors.select(*others, vector)
+def bucketed(rows: DataFrame, tables: int, bits: int, dims: int, vector: str = "embedding") -> DataFrame:
+    """One row per vector and hash table, with its ``bucket``; the buckets of all tables are numbered through."""
+    others = [c for c in rows.columns if c != vector]
+    slim = rows.select(*others, vector)
     schema = T.StructType([*slim.schema.fields, T.StructField("codes", T.ArrayType(T.IntegerType()))])
     coded = slim.mapInArrow(scoring.bucket_codes(planes(tables, bits, dims)), schema)
-    return coded.select(F.posexplode("codes").alias("table_no", "bucket"), *others, vector)
+    return coded.select(F.posexplode("codes").alias("table_no", "code"), *others, vector).select(
+        (F.col("table_no").cast("long") * (1 << bits) + F.col("code")).alias("bucket"), *others, vector
+    )
+
+
+def write_buckets(rows: DataFrame, id_col: str, path: str, tables: int, bits: int, dims: int) -> None:
+    """Write :func:`bucketed` vectors in order of their bucket, so that a search can skip what it does not ask for.
+
+    Ranges of bucket and id are written, not one file per bucket: a bucket with much of the data becomes many files.
+    """
+    ordered = bucketed(rows.select(id_col, "embedding"), tables, bits, dims).repartitionByRange("bucket", id_col)
+    ordered.sortWithinPartitions("bucket", id_col).write.parquet(path)
 
 
 def lsh_top_k(
@@ -281,13 +290,16 @@ def lsh_top_k(
 ) -> DataFrame:
     """Approximate search: only vectors that share a bucket with the question are scored, and those exactly.
 
-    ``buckets`` comes from :func:`bucketed`, best written with ``partitionBy("table_no", "bucket")`` so that a search
-    reads the buckets asked for and no others. A vector may share several buckets with a question; up to
-    ``k * tables`` hits are kept until duplicates are gone, so none of the best ``k`` is lost.
+    ``buckets`` comes from :func:`write_buckets`; the buckets asked for reach the scan as a filter. A vector may share
+    several buckets with a question, so ``k * tables`` hits are kept until duplicates are gone and none of the best ``k``
+    is lost.
     """
     asked = bucketed(queries.select("query_id", "embedding"), tables, bits, dims)
-    asked = asked.withColumnRenamed("embedding", "asked")
-    found = lookup_join(buckets, asked, ["table_no", "bucket"], spread_by=F.col(id_col))
+    asked = written(asked.withColumnRenamed("embedding", "asked"), "asked")
+    numbers = [row[0] for row in asked.select("bucket").distinct().limit(PUSHED_BUCKETS + 1).collect()]
+    if len(numbers) <= PUSHED_BUCKETS:
+        buckets = buckets.filter(F.col("bucket").isin(numbers))
+    found = lookup_join(buckets, asked, ["bucket"], spread_by=F.col(id_col))
     number = lambda v: F.transform(v, lambda x: x.cast("double"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     u, v = number(F.col("embedding")), number(F.col("asked"))
@@ -297,13 +309,13 @@ def lsh_top_k(
     return rank_hits(pool.dropDuplicates(["query_id", id_col]), k, id_col)
 
 
-def centroids(vectors: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
+def centroids(rows: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
     """The mean vector of each group as a question."""
     return (
-        vectors.select(F.col(group).alias("query_id"), F.posexplode(vector).alias("i", "x"))
+        rows.select(F.col(group).alias("query_id"), F.posexplode(vector).alias("i", "x"))
         .groupBy("query_id", "i")
         .agg(F.avg("x").alias("x"))
         .groupBy("query_id")
-        .agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("xs"))
+        .agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("xs"))
         .select("query_id", F.transform("xs", lambda e: e["x"]).alias("embedding"))
     )

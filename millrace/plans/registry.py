@@ -16,7 +16,7 @@ from millrace.operators.enrich import enrich_documents
 from millrace.operators.metrics import SALES_METRICS
 from millrace.plans import derived
 from millrace.session import new_path, written
-from millrace.sizing import lookup_join
+from millrace.sizing import lookup_join, spread
 from millrace.sources import files
 from millrace.sources.tables import TABLES, table, table_stream
 from millrace.streaming.runs import run_to_end
@@ -170,16 +170,21 @@ def features_as_of(spark: SparkSession, folder: str) -> DataFrame:
 # --- documents ---------------------------------------------------------------------------------------------------
 
 
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"), "doc_id")
+
+
 def _plain(documents: DataFrame) -> DataFrame:
     return docs.parse_plain(documents, derived.doc_path(), F.col("text"))
 
 
 def _parsed_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(table(spark, folder, "documents"))
+    return _plain(_documents(spark, folder))
 
 
 def _parsed_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return docs.parse_html(table(spark, folder, "pages"), F.col("url"), F.col("html"))
+    pages = spread(table(spark, folder, "pages"), "page_id")
+    return docs.parse_html(pages, F.col("url"), F.col("html"))
 
 
 @query
@@ -206,8 +211,8 @@ def doc_elements(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def element_walk(spark: SparkSession, folder: str) -> DataFrame:
-    walked = walk_elements(derived.nested_parse(_parsed_pages(spark, folder)), "parsed")
-    return docs.elements(walked)
+    parsed = written(derived.nested_parse(_parsed_pages(spark, folder)), "parsed")
+    return docs.elements(walk_elements(parsed, "parsed"))
 
 
 @query
@@ -224,12 +229,12 @@ def doc_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def docs_redacted(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", redact(F.col("text")).alias("text"))
+    return _documents(spark, folder).select("doc_id", redact(F.col("text")).alias("text"))
 
 
 @query
 def docs_masked_entities(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", mask_entities(F.col("text")).alias("text"))
+    return _documents(spark, folder).select("doc_id", mask_entities(F.col("text")).alias("text"))
 
 
 def _doc_chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -248,7 +253,7 @@ def page_chunks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def prechunked(spark: SparkSession, folder: str) -> DataFrame:
-    given = derived.line_contents(table(spark, folder, "documents"))
+    given = derived.line_contents(_documents(spark, folder))
     return docs.prechunked(given, F.col("path"), F.col("contents"), F.col("source"))
 
 
@@ -270,7 +275,7 @@ def docs_enriched(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _both_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    second = derived.second_documents(table(spark, folder, "documents"))
+    second = derived.second_documents(_documents(spark, folder))
     return _doc_chunks(spark, folder), docs.chunk_documents(_plain(second))
 
 
@@ -338,7 +343,7 @@ def cosine_topk(spark: SparkSession, folder: str) -> DataFrame:
 def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     path = new_path(spark, "buckets")
-    search.bucketed(vectors.select("vec_id", "embedding"), **LSH).write.partitionBy("table_no", "bucket").parquet(path)
+    search.write_buckets(vectors, "vec_id", path, **LSH)
     return search.lsh_top_k(
         spark.read.parquet(path), "vec_id", search.centroids(vectors, "label"), K, **LSH
     )
@@ -347,7 +352,7 @@ def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
 def _hit_rates(spark: SparkSession, folder: str) -> DataFrame:
     index, weights = search.build_index(_doc_chunks(spark, folder))
     answers = search.search_all(index, weights, _questions(spark, folder), K)
-    corpus = table(spark, folder, "documents").select(derived.doc_path().alias("path"), "text")
+    corpus = _documents(spark, folder).select(derived.doc_path().alias("path"), "text")
     truth = written(evaluate.passage_sources(table(spark, folder, "benchmark"), corpus, "item_id", "text"), "truth")
     return evaluate.hit_rates(answers, truth, index)
 

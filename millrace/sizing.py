@@ -45,3 +45,15 @@ def lookup_join(
     salt = F.pmod(F.xxhash64(spread_by if spread_by is not None else F.struct("*")), F.lit(spread)).cast("int")
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     return big.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Share out rows by ``keys`` when a table comes in fewer pieces than there are cores.
+
+    Work on texts is slow per row, and a small table may be one file with one row group, which is one task. A large table is
+    read in many pieces anyway and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(2 * cores, *keys)
