@@ -43,8 +43,10 @@ def slot_counter(slots: int) -> Callable[[Batches], Batches]:
         counts = np.zeros(slots, dtype=np.int64)
         for batch in batches:
             owner, _, words = _hashed(batch.column(0))
-            seen = np.unique(owner * slots + words[:, 2] % slots)
-            counts += np.bincount(seen % slots, minlength=slots)
+            places = np.sort(owner * slots + words[:, 2] % slots)
+            first = np.ones(len(places), dtype=bool)
+            first[1:] = places[1:] != places[:-1]
+            counts += np.bincount(places[first] % slots, minlength=slots)
         found = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(found.astype(np.int32)), pa.array(counts[found])], schema=SLOT_COUNTS

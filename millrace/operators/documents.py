@@ -104,7 +104,7 @@ def assemble_pages(elements: Column) -> Column:
         )
 
     document_title = F.get(F.filter(elements, is_title), F.lit(0))["text"]
-    return let(
+    pages = let(
         F.coalesce(document_title, F.lit("")),
         lambda fallback: F.transform(
             let(F.sort_array(placed), cut),
@@ -113,6 +113,12 @@ def assemble_pages(elements: Column) -> Column:
             ),
         ),
     )
+    # Plain texts are a single element, which is its own page.
+    only = F.get(elements, F.lit(0))
+    single = F.struct(
+        only["page"].alias("page"), F.when(is_title(only), only["text"]).otherwise("").alias("title"), only["text"].alias("text")
+    )
+    return F.when(F.size(elements) == 1, F.array(single)).otherwise(pages)
 
 
 def document_pages(parsed: DataFrame, skip_types: tuple[str, ...] = (), engine: str = "regex") -> DataFrame:

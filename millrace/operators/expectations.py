@@ -43,8 +43,8 @@ def _counts(rules: Sequence[Rule]) -> list[Column]:
 
 
 def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Drop the rows that break a dropping rule."""
-    conditions = [_holds(rule) for rule in rules if rule.drop]
+    """Drop the rows that break a dropping rule. The conditions stay as they are, so that the scan can use them."""
+    conditions = [F.expr(rule.condition) for rule in rules if rule.drop]
     return df.filter(reduce(lambda a, b: a & b, conditions)) if conditions else df
 
 

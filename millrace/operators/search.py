@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from hashlib import md5
 
@@ -78,11 +79,21 @@ def add_vectors(rows: DataFrame, weights: np.ndarray, dims: int = DIMENSIONS) ->
     return rows.mapInArrow(vectors.vector_adder(weights, dims, rows.columns.index("terms")), schema)
 
 
-def build_index(chunks: DataFrame, dims: int = DIMENSIONS) -> tuple[DataFrame, np.ndarray]:
-    """The written index with terms and vectors, and the slot weights that questions need as well."""
+@dataclass(frozen=True)
+class Index:
+    """Written terms and vectors of all chunks, and the slot weights that questions need as well."""
+
+    terms: DataFrame
+    vectors: DataFrame
+    weights: np.ndarray
+    dims: int = DIMENSIONS
+
+
+def build_index(chunks: DataFrame, dims: int = DIMENSIONS) -> Index:
     terms = written(index_terms(chunks), "terms")
     weights = slot_weights(terms)
-    return written(add_vectors(terms, weights, dims), "index"), weights
+    added = add_vectors(terms.select("chunk_id", "terms"), weights, dims).select("chunk_id", "vector")
+    return Index(terms, written(added, "vectors"), weights, dims)
 
 
 def question_terms(questions: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -119,18 +130,16 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in schema])
 
 
-def sparse_top_k(rows: DataFrame, id_col: str, entries: Column, queries: DataFrame, k: int) -> DataFrame:
+def sparse_top_k(rows: DataFrame, id_col: str, entries: Column, asked: DataFrame, k: int) -> DataFrame:
     """The ``k`` rows with the largest positive dot product for each question, rounded to six places.
 
-    ``entries`` is an ``array<struct<key, weight>>`` of each row, and ``queries`` has ``query_id`` and ``entries`` of the
-    same kind. Every row is read where it lies and compared with all questions of a block; a task returns at most ``k``
+    ``entries`` is an ``array<struct<key, weight>>`` of each row, and ``asked`` has ``query_id, key, weight``. Every row is read where it lies and compared with all questions of a block; a task returns at most ``k``
     rows per question. Nothing of the size rows times questions is ever shuffled or kept.
     """
     slim = rows.select(id_col, entries.alias("entries"))
-    schema = _hit_schema(rows, id_col, queries)
+    schema = _hit_schema(rows, id_col, asked)
     hits = []
-    asked = queries.select("query_id", F.inline("entries")).toDF("query_id", "key", "weight")
-    for table in _bounded(asked, BLOCK_ENTRIES):
+    for table in _bounded(asked.select("query_id", "key", "weight"), BLOCK_ENTRIES):
         for part in _fit(table):
             keys = part.column("key").combine_chunks().unique()
             query_ids = part.column("query_id").combine_chunks().unique()
@@ -172,9 +181,9 @@ def bm25_top_k(index: DataFrame, questions: DataFrame, k: int, id_col: str = "ch
     weighted = (
         questions.select("query_id", F.explode("terms.term").alias("term"))
         .join(frequency, "term")
-        .select("query_id", "term", idf(stats.select("n").scalar(), F.col("frequency")).alias("weight"))
-        .groupBy("query_id")
-        .agg(F.collect_list(F.struct(F.col("term").alias("key"), "weight")).alias("entries"))
+        .select(
+            "query_id", F.col("term").alias("key"), idf(stats.select("n").scalar(), F.col("frequency")).alias("weight")
+        )
     )
     measured = index.select(id_col, "terms", "n_terms", stats.select("mean").scalar().alias("_mean"))
     entries = F.transform(
@@ -188,12 +197,13 @@ def bm25_top_k(index: DataFrame, questions: DataFrame, k: int, id_col: str = "ch
 
 
 def question_vectors(questions: DataFrame, weights: np.ndarray, dims: int = DIMENSIONS) -> DataFrame:
-    return add_vectors(questions, weights, dims).select("query_id", F.col("vector").alias("entries"))
+    """The hashed vectors of questions as ``query_id, key, weight``, a row per dimension."""
+    return add_vectors(questions, weights, dims).select("query_id", F.inline("vector")).toDF("query_id", "key", "weight")
 
 
-def vector_top_k(index: DataFrame, asked: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:
+def vector_top_k(vectors_: DataFrame, asked: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:
     """Exact cosine search over the hashed vectors: ``query_id, id, score, rank``."""
-    return sparse_top_k(index, id_col, F.col("vector"), asked, k)
+    return sparse_top_k(vectors_, id_col, F.col("vector"), asked, k)
 
 
 def fuse(ranked: list[DataFrame], k: int, id_col: str = "chunk_id") -> DataFrame:
@@ -203,13 +213,11 @@ def fuse(ranked: list[DataFrame], k: int, id_col: str = "chunk_id") -> DataFrame
     return rank_hits(scores, k, id_col)
 
 
-def search_all(
-    index: DataFrame, weights: np.ndarray, questions: DataFrame, k: int, pool: int = POOL, dims: int = DIMENSIONS
-) -> dict[str, DataFrame]:
+def search_all(index: Index, questions: DataFrame, k: int, pool: int = POOL) -> dict[str, DataFrame]:
     """The ``KEYWORD``, ``ANN`` and ``HYBRID`` answers. The ranked pools are written once and shared."""
-    asked = question_vectors(questions, weights, dims)
-    keyword = written(bm25_top_k(index, questions, max(k, pool)), "keyword")
-    semantic = written(vector_top_k(index, asked, max(k, pool)), "semantic")
+    asked = question_vectors(questions, index.weights, index.dims)
+    keyword = written(bm25_top_k(index.terms, questions, max(k, pool)), "keyword")
+    semantic = written(vector_top_k(index.vectors, asked, max(k, pool)), "semantic")
     top = lambda hits, n: hits.filter(F.col("rank") <= n)
     return {
         "KEYWORD": top(keyword, k),
@@ -225,15 +233,14 @@ def with_citations(hits: DataFrame, chunks: DataFrame) -> DataFrame:
     )
 
 
-def rerank(candidates: DataFrame, index: DataFrame, asked: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:
+def rerank(candidates: DataFrame, vectors_: DataFrame, asked: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:
     """Second stage: order the candidates of each question by exact cosine."""
-    pairs = lookup_join(index.select(id_col, "vector"), candidates.select("query_id", id_col), [id_col])
-    left = pairs.select("query_id", id_col, F.inline("vector")).toDF("query_id", id_col, "dim", "value")
-    right = asked.select("query_id", F.inline("entries")).toDF("query_id", "dim", "asked")
+    pairs = lookup_join(vectors_.select(id_col, "vector"), candidates.select("query_id", id_col), [id_col])
+    left = pairs.select("query_id", id_col, F.inline("vector")).toDF("query_id", id_col, "key", "value")
     scores = (
-        left.join(right, ["query_id", "dim"], "left")
+        left.join(asked, ["query_id", "key"], "left")
         .groupBy("query_id", id_col)
-        .agg(F.round(F.coalesce(F.sum(F.col("value") * F.col("asked")), F.lit(0.0)), scoring.ROUND).alias("score"))
+        .agg(F.round(F.coalesce(F.sum(F.col("value") * F.col("weight")), F.lit(0.0)), scoring.ROUND).alias("score"))
     )
     return rank_hits(scores, k, id_col)
 

@@ -313,24 +313,23 @@ def hashed_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
-    index, weights = search.build_index(_doc_chunks(spark, folder))
-    return search.vector_top_k(index, search.question_vectors(_questions(spark, folder), weights), K)
+    index = search.build_index(_doc_chunks(spark, folder))
+    return search.vector_top_k(index.vectors, search.question_vectors(_questions(spark, folder), index.weights), K)
 
 
 @query
 def hybrid_topk(spark: SparkSession, folder: str) -> DataFrame:
     chunks = written(_doc_chunks(spark, folder), "chunks")
-    index, weights = search.build_index(chunks)
-    hits = search.search_all(index, weights, _questions(spark, folder), K)["HYBRID"]
+    hits = search.search_all(search.build_index(chunks), _questions(spark, folder), K)["HYBRID"]
     return search.with_citations(hits, chunks)
 
 
 @query
 def reranked_topk(spark: SparkSession, folder: str) -> DataFrame:
-    index, weights = search.build_index(_doc_chunks(spark, folder))
+    index = search.build_index(_doc_chunks(spark, folder))
     questions = _questions(spark, folder)
-    candidates = written(search.bm25_top_k(index, questions, RERANK_POOL), "candidates")
-    return search.rerank(candidates, index, search.question_vectors(questions, weights), K)
+    candidates = written(search.bm25_top_k(index.terms, questions, RERANK_POOL), "candidates")
+    return search.rerank(candidates, index.vectors, search.question_vectors(questions, index.weights), K)
 
 
 @query
@@ -350,11 +349,11 @@ def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _hit_rates(spark: SparkSession, folder: str) -> DataFrame:
-    index, weights = search.build_index(_doc_chunks(spark, folder))
-    answers = search.search_all(index, weights, _questions(spark, folder), K)
+    index = search.build_index(_doc_chunks(spark, folder))
+    answers = search.search_all(index, _questions(spark, folder), K)
     corpus = _documents(spark, folder).select(derived.doc_path().alias("path"), "text")
     truth = written(evaluate.passage_sources(table(spark, folder, "benchmark"), corpus, "item_id", "text"), "truth")
-    return evaluate.hit_rates(answers, truth, index)
+    return evaluate.hit_rates(answers, truth, index.terms)
 
 
 @query
