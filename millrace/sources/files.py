@@ -39,11 +39,15 @@ def without_forgotten(files: DataFrame, forgotten: DataFrame, key: str = "path")
 
 
 def file_text(files: DataFrame) -> DataFrame:
-    """The content decoded as UTF-8 text; bytes that are not valid are replaced."""
-    return files.withColumn("text", F.decode("content", "utf-8")).drop("content")
+    """The content as UTF-8 text. Bytes that are not valid are replaced, so that one bad file does not stop a stream."""
+    return files.withColumn("text", _text(F.col("content"))).drop("content")
+
+
+def _text(content: Column) -> Column:
+    return F.make_valid_utf8(content.cast("string"))
 
 
 def line_records(files: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Files of JSON lines to one row per record, with the file they came from."""
-    lines = files.select("path", F.explode(F.split(F.decode("content", "utf-8"), "\n")).alias("line"))
+    lines = files.select("path", F.explode(F.split(_text(F.col("content")), "\n")).alias("line"))
     return lines.filter("line <> ''").select("path", F.from_json("line", schema).alias("r")).select("path", "r.*")
