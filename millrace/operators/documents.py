@@ -30,8 +30,10 @@ CITATION_COLUMNS = ["chunk_id", "chunk_content", "source_uri", "chunk_position"]
 FRAME_TYPES = ("list_item", "footer")
 
 
-def parse_html(df: DataFrame, path: Column, html: Column, elements_per_page: int = 10) -> DataFrame:
-    """One row per document: ``path``, ``elements`` (page, type, text) and ``error_status``.
+def parse_html(
+    df: DataFrame, path: Column, html: Column, elements_per_page: int = 10, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per document: ``path``, ``elements`` (page, type, text), ``error_status`` and the columns to ``keep``.
 
     Web pages have no page breaks, so every ``elements_per_page`` elements make a page.
     """
@@ -43,7 +45,7 @@ def parse_html(df: DataFrame, path: Column, html: Column, elements_per_page: int
             F.floor(i / elements_per_page).cast("int").alias("page"), e["type"].alias("type"), e["text"].alias("text")
         ),
     )
-    return df.select(path.alias("path"), numbered.alias("elements"), html_error(html).alias("error_status"))
+    return df.select(path.alias("path"), *keep, numbered.alias("elements"), html_error(html).alias("error_status"))
 
 
 def parse_plain(df: DataFrame, path: Column, text: Column) -> DataFrame:

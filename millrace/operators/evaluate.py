@@ -12,6 +12,8 @@ from millrace.sizing import is_small, lookup_join
 
 MIN_HIT_RATE = 0.80
 WORD_BREAK = "[ \n]+"
+# The anchors are hashed anew for every document, so only a short list pays.
+ANCHORS_IN_ROW = 2_000
 
 
 def passage_sources(passages: DataFrame, documents: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -28,7 +30,7 @@ def passage_sources(passages: DataFrame, documents: DataFrame, id_col: str, text
         F.col(id_col).alias("query_id"), F.col(text).alias("passage"), F.coalesce(longest, too_short).alias("anchor")
     )
     held = F.array_distinct(F.split("text", WORD_BREAK))
-    if is_small(anchors.select("anchor")):
+    if is_small(anchors.select("anchor"), ANCHORS_IN_ROW):
         # Few passages: cut each document's words down to the anchors before making rows of them.
         held = F.array_intersect(held, anchors.agg(F.collect_set("anchor")).scalar())
     found = documents.select("path", "text", F.explode(held).alias("anchor"))

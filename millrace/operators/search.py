@@ -34,7 +34,7 @@ POOL = 50
 # Questions are scored in blocks, so that the table each task holds has a known size.
 BLOCK_QUERIES = 512
 BLOCK_ENTRIES = 400_000
-BLOCK_CELLS = 16_000_000
+BLOCK_CELLS = 4_000_000
 PUSHED_BUCKETS = 10_000
 
 
@@ -111,6 +111,7 @@ def _bounded(rows: DataFrame, limit: int) -> list[pa.Table]:
     head = rows.limit(limit + 1).toArrow()
     if head.num_rows <= limit:
         return [head]
+    rows = written(rows, "asked")
     parts = -(-rows.count() // limit)
     block = F.pmod(F.xxhash64("query_id"), F.lit(parts))
     return [rows.filter(block == n).toArrow() for n in range(parts)]

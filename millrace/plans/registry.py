@@ -192,7 +192,7 @@ def docs_binary_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Documents land as files of JSON lines, are ingested as binary rows by a stream, and decoded again."""
     landing = new_path(spark, "landing")
     source = table(spark, folder, "documents").select("doc_id", "text")
-    source.write.option("maxRecordsPerFile", 20_000).json(landing)
+    source.write.option("maxRecordsPerFile", 5_000).json(landing)
     stream = files.binary_stream(spark, landing, "*.json")
     landed = run_to_end(stream, new_path(spark, "docs_bronze"), new_path(spark, "docs_bronze_checkpoint"))
     records = files.line_records(landed, source.schema)

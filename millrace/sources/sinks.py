@@ -107,6 +107,10 @@ class ChangeLogTable:
             return empty.withColumns({"change_type": F.lit(""), "batch": F.lit(0).cast("long")})
         return log
 
+    def change_stream(self) -> DataFrame:
+        """The changes as a stream, for consumers that follow the table continuously. Needs at least one change."""
+        return self.spark.readStream.schema(self.spark.read.parquet(self._log_path()).schema).parquet(self._log_path())
+
     def compact(self) -> int:
         return self.base.replace(self.read())
 

@@ -7,6 +7,7 @@ from millrace.operators import health
 from millrace.session import new_path
 from millrace.sizing import is_small, lookup_join, spread
 from millrace.sources.sinks import ChangeLogTable, VersionedTable
+from millrace.streaming.runs import run_to_end
 
 
 def frame(spark, data):
@@ -33,6 +34,8 @@ def test_change_log_table(spark):
         table.sync(frame(spark, state))
         assert rows(table.read()) == sorted(state)
     assert table.change_feed().count() == 2 + 3 + 1
+    followed = run_to_end(table.change_stream(), new_path(spark, "feed"), new_path(spark, "feed_checkpoint"))
+    assert followed.count() == 6
     table.compact()
     assert rows(table.read()) == sorted(states[-1])
     assert table.change_feed().count() == 0
