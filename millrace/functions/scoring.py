@@ -25,8 +25,11 @@ class TopLists:
         self.scores = [np.empty(0) for _ in range(queries)]
         self.floor = np.zeros(queries)
 
-    def offer(self, ids: np.ndarray, scores: np.ndarray, positive: bool) -> None:
-        """``scores`` has one row per id and one column per query. ``positive`` keeps only scores above zero."""
+    def offer(self, ids: pa.Array, at: np.ndarray, scores: np.ndarray, positive: bool) -> None:
+        """``scores`` has a row for each place in ``at`` and a column per query; ``positive`` keeps scores above zero.
+
+        Only the ids of rows that enter a list are taken out of the batch.
+        """
         scores = np.round(scores, ROUND)
         good = scores >= self.floor if positive else np.ones_like(scores, dtype=bool)
         if positive:
@@ -34,9 +37,12 @@ class TopLists:
         else:
             full = np.array([len(s) == self.k for s in self.scores])
             good[:, full] = scores[:, full] >= self.floor[full]
+        entering = np.flatnonzero(good.any(axis=1))
+        good, scores = good[entering], scores[entering]
+        names = np.array(ids.take(pa.array(at[entering])).to_pylist(), dtype=object)
         for q in np.flatnonzero(good.any(axis=0)):
             rows = np.flatnonzero(good[:, q])
-            all_ids = np.concatenate([self.ids[q], ids[rows]])
+            all_ids = np.concatenate([self.ids[q], names[rows]])
             all_scores = np.concatenate([self.scores[q], scores[rows, q]])
             if len(all_ids) > self.k:
                 # Everything above the k-th score stays; ids decide only among those that share it.
@@ -84,13 +90,12 @@ def sparse_scorer(
         # With few keys, a product of full matrices is faster than adding up the entries one by one.
         dense = len(keys) <= DENSE_KEYS
         for batch in batches:
-            ids = np.array(batch.column(0).to_pylist(), dtype=object)
             entries = batch.column(1)
             flat = entries.flatten()
             place = pc.fill_null(pc.index_in(flat.field(0), value_set=keys), -1).to_numpy(zero_copy_only=False)
             value = flat.field(1).to_numpy(zero_copy_only=False)
             owner = np.repeat(
-                np.arange(len(ids)), pc.fill_null(pc.list_value_length(entries), 0).to_numpy(zero_copy_only=False)
+                np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(entries), 0).to_numpy(zero_copy_only=False)
             )
             known = place >= 0
             place, value, owner = place[known], value[known], owner[known]
@@ -107,7 +112,7 @@ def sparse_scorer(
                 else:
                     parts = weights[place[begin:end]] * value[begin:end, None]
                     scores = np.add.reduceat(parts, starts[first:last] - begin, axis=0)
-                best.offer(ids[rows[first:last]], scores, True)
+                best.offer(batch.column(0), rows[first:last], scores, True)
         yield best.batch(query_ids, schema)
 
     return run
@@ -121,11 +126,11 @@ def dense_scorer(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = TopLists(len(queries), k)
         for batch in batches:
-            ids = np.array(batch.column(0).to_pylist(), dtype=object)
             vectors = unit_rows(matrix(batch.column(1)))
             step = max(1, CELLS // max(1, len(queries)))
-            for first in range(0, len(ids), step):
-                best.offer(ids[first : first + step], vectors[first : first + step] @ queries.T, False)
+            for first in range(0, len(vectors), step):
+                scores = vectors[first : first + step] @ queries.T
+                best.offer(batch.column(0), np.arange(first, first + len(scores)), scores, False)
         yield best.batch(query_ids, schema)
 
     return run

@@ -8,6 +8,7 @@ from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -146,8 +147,8 @@ def sparse_top_k(rows: DataFrame, id_col: str, entries: Column, asked: DataFrame
             query_ids = part.column("query_id").combine_chunks().unique()
             weights = np.zeros((len(keys), len(query_ids)))
             at = (
-                pa.compute.index_in(part.column("key"), value_set=keys).to_numpy(),
-                pa.compute.index_in(part.column("query_id"), value_set=query_ids).to_numpy(),
+                pc.index_in(part.column("key"), value_set=keys).to_numpy(),
+                pc.index_in(part.column("query_id"), value_set=query_ids).to_numpy(),
             )
             np.add.at(weights, at, part.column("weight").to_numpy())
             run = scoring.sparse_scorer(keys, weights, query_ids, k, _arrow(schema))
@@ -165,8 +166,8 @@ def _fit(table: pa.Table) -> list[pa.Table]:
         return []
     if len(query_ids) == 1 or len(query_ids) <= BLOCK_QUERIES and len(keys) * len(query_ids) <= BLOCK_CELLS:
         return [table]
-    first = pa.compute.is_in(table.column("query_id"), value_set=query_ids[: len(query_ids) // 2])
-    return [*_fit(table.filter(first)), *_fit(table.filter(pa.compute.invert(first)))]
+    first = pc.is_in(table.column("query_id"), value_set=query_ids[: len(query_ids) // 2])
+    return [*_fit(table.filter(first)), *_fit(table.filter(pc.invert(first)))]
 
 
 def bm25_top_k(index: DataFrame, questions: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:

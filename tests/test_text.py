@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -71,6 +72,19 @@ def test_strip_and_redact_follow_the_model(texts):
         assert got[n].r == model_redact(text)
 
 
+def test_random_texts_follow_the_model(spark):
+    pick = random.Random(17)
+    letters = ["a", "Z", "é", "ß", "中", "😀", "_", "7", "0", "٣", "²", "@", ".", "-", "+", "(", ")", " ", "\n", "\xa0", "\u2003", "\x1d"]
+    made = ["".join(pick.choices(letters, k=pick.randint(0, 60))) for _ in range(3000)]
+    made += ["".join(pick.choices("0123456789 ()-.+@ab\n", k=pick.randint(0, 40))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(made)), "n int, t string")
+    got = df.select("n", redact(F.col("t")).alias("r"), windows(F.col("t"), 20, 6, 3).alias("w"), strip(F.col("t")).alias("s"))
+    for r in got.collect():
+        assert r.r == model_redact(made[r.n]), repr(made[r.n])
+        assert r.w == model_windows(made[r.n], 20, 6, 3), repr(made[r.n])
+        assert r.s == made[r.n].strip()
+
+
 def test_redact_is_idempotent(texts):
     twice = texts.select(redact(redact(F.col("t"))).alias("b"), redact(F.col("t")).alias("a"))
     assert twice.filter("a <> b").count() == 0
