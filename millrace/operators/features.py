@@ -11,6 +11,9 @@ from millrace.sizing import lookup_join
 
 HIGH_VALUE = 500
 FEATURE_COLUMNS = ["total_orders", "avg_order_value", "months_active", "high_value_ratio"]
+# Slices for the as-of join, from coarse to fine, and how many rows of one key a slice may hold.
+SLICE_UNITS = ("month", "day", "hour", "minute", "second")
+SLICE_ROWS = 1_000_000
 PUBLISH_MODES = ("SNAPSHOT", "TRIGGERED", "CONTINUOUS")
 
 
@@ -84,13 +87,22 @@ def order_day_features(orders: DataFrame) -> DataFrame:
     )
 
 
+def fine_enough(times: DataFrame, key: str, time: str, most: int = SLICE_ROWS) -> str:
+    """The coarsest time slice in which no key has more than ``most`` rows. Counting combines before the shuffle."""
+    for unit in SLICE_UNITS[:-1]:
+        per_slice = times.groupBy(key, F.date_trunc(unit, F.col(time))).count()
+        if (per_slice.agg(F.max("count")).first()[0] or 0) <= most:
+            return unit
+    return SLICE_UNITS[-1]
+
+
 def as_of_join(
     labels: DataFrame,
     features: DataFrame,
     key: str,
     label_time: str,
     feature_time: str,
-    slice_unit: str = "day",
+    slice_unit: str | None = None,
 ) -> DataFrame:
     """Each label with the latest feature row of its key at or before the label's time.
 
@@ -98,8 +110,12 @@ def as_of_join(
 
     The history of a key is cut into time slices, so that a key with very many rows is many small groups. Inside a slice a
     running window finds the latest feature. Where the slice has none yet, the answer is the last feature of an earlier
-    slice; that is looked up among one row per key and slice. Equal label times are answered once.
+    slice; that is looked up among one row per key and slice. Equal label times are answered once. Unless a unit is
+    given, the slices are as fine as the busiest key needs.
     """
+    if slice_unit is None:
+        both = labels.select(key, F.col(label_time).alias("_t")).unionAll(features.select(key, feature_time))
+        slice_unit = fine_enough(both, key, "_t")
     values = [c for c in features.columns if c not in (key, feature_time)]
     row = F.struct(F.col(feature_time), *values)
     row_type = features.select(row.alias("r")).schema["r"].dataType.simpleString()

@@ -54,6 +54,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     read in many pieces anyway and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(2 * cores, *keys)

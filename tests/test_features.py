@@ -11,7 +11,7 @@ from millrace.operators import features as ft
 START = datetime(2024, 1, 1)
 
 
-@pytest.mark.parametrize("unit", ["hour", "day", "month"])
+@pytest.mark.parametrize("unit", ["hour", "day", "month", None])
 def test_as_of_equals_a_sorted_merge_with_a_hot_key(spark, unit):
     rng = np.random.default_rng(5)
     keys = np.where(rng.random(3000) < 0.4, 0, rng.integers(1, 40, 3000))
@@ -37,6 +37,15 @@ def test_as_of_equals_a_sorted_merge_with_a_hot_key(spark, unit):
     assert {r.id: r.v for r in got.collect()} == want
 
 
+def test_slices_are_as_fine_as_the_busiest_key_needs(spark):
+    start = F.lit("2024-01-01").cast("timestamp_ntz")
+    times = spark.range(7200).select(
+        F.when(F.col("id") < 4000, 0).otherwise(F.col("id")).alias("k"),
+        (start + F.make_dt_interval(secs=F.col("id"))).alias("t"),
+    )
+    assert [ft.fine_enough(times, "k", "t", most) for most in (4000, 3600, 60, 1)] == ["month", "hour", "minute", "second"]
+
+
 def test_upsert_and_publish(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string")
     new = spark.createDataFrame([(2, "B"), (3, None), (4, "d")], "k int, v string")
