@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.markup import html_elements, html_error
 from millrace.functions.nested import TITLE_TYPES
-from millrace.functions.text import let, pii_engine, redact, windows
+from millrace.functions.text import let, pii_engine, windows
 
 CHUNK_SIZE = 1000
 CHUNK_OVERLAP = 150
@@ -117,9 +117,8 @@ def assemble_pages(elements: Column) -> Column:
     )
     # Plain texts are a single element, which is its own page.
     only = F.get(elements, F.lit(0))
-    single = F.struct(
-        only["page"].alias("page"), F.when(is_title(only), only["text"]).otherwise("").alias("title"), only["text"].alias("text")
-    )
+    title = F.when(is_title(only), only["text"]).otherwise("")
+    single = F.struct(only["page"].alias("page"), title.alias("title"), only["text"].alias("text"))
     return F.when(F.size(elements) == 1, F.array(single)).otherwise(pages)
 
 
@@ -191,7 +190,3 @@ def prechunked(df: DataFrame, path: Column, contents: Column, source_uri: Column
         "source_uri",
         "path",
     )
-
-
-def redact_columns(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: redact(F.col(c)) for c in columns})

@@ -135,8 +135,9 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 def sparse_top_k(rows: DataFrame, id_col: str, entries: Column, asked: DataFrame, k: int) -> DataFrame:
     """The ``k`` rows with the largest positive dot product for each question, rounded to six places.
 
-    ``entries`` is an ``array<struct<key, weight>>`` of each row, and ``asked`` has ``query_id, key, weight``. Every row is read where it lies and compared with all questions of a block; a task returns at most ``k``
-    rows per question. Nothing of the size rows times questions is ever shuffled or kept.
+    ``entries`` is an ``array<struct<key, weight>>`` of each row, and ``asked`` has ``query_id, key, weight``. Every row is
+    read where it lies and compared with all questions of a block; a task returns at most ``k`` rows per question. Nothing
+    of the size rows times questions is ever shuffled or kept.
     """
     slim = rows.select(id_col, entries.alias("entries"))
     schema = _hit_schema(rows, id_col, asked)

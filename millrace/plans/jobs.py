@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.operators import changes, documents, evaluate, expectations, features, health, orders, search
 from millrace.operators.enrich import enrich_documents
 from millrace.sources import files
-from millrace.sources.sinks import ChangeLogTable, VersionedTable, append, overwrite
+from millrace.sources.sinks import ChangeLogTable, VersionedTable, append, overwrite, publish_view
 from millrace.streaming.runs import start_each
 
 ORDER_TABLES = ("orders_bronze", "orders_silver", "daily_sales", "quality_log")
@@ -66,6 +66,11 @@ def refine_orders(lake: Lake, source: DataFrame, source_system: str, at: datetim
     lake.features.create_or_merge(features.customer_features(silver))
 
 
+def publish_quality(lake: Lake, view: str = "orders_quality_log") -> None:
+    """Make the quality log queryable by name for everybody in the session."""
+    publish_view(lake.read("quality_log"), view)
+
+
 def refine_documents(lake: Lake, landing: str, pattern: str = "*.html", elements_per_page: int = 10) -> None:
     """Take in new files: bronze, parsed, enriched and chunks. Files of forgotten documents stay out."""
 

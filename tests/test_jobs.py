@@ -45,6 +45,8 @@ def test_tables_and_checks(lake):
     assert set(health) == {*jobs.ORDER_TABLES, *jobs.DOCUMENT_TABLES, "customer_features", "index"}
     assert (health["docs_bronze"], health["docs_parsed"], health["docs_enriched"], health["chunks"]) == (5, 5, 4, 4)
     assert lake.read("chunks").filter(F.col("chunk_to_embed").rlike("@|415")).count() == 0
+    jobs.publish_quality(lake)
+    assert lake.spark.sql("SELECT sum(failed_records) FROM orders_quality_log WHERE name = 'valid_price'").first()[0] == 0
     assert rows(lake.read("quality_log").select("name")) == [("known_status",), ("valid_order_key",), ("valid_price",)]
 
 
