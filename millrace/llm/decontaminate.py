@@ -16,12 +16,20 @@ from millrace.sizing import is_small
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# The ASCII characters that are in no word once upper-case letters are lower-case ones.
+BREAKS = "".join(c for c in map(chr, range(128)) if not (c.isdigit() or c.isalpha()))
+
 WINDOW = 10
 
 
 def words(text: Column) -> Column:
-    """The normalised words of a text; none for a null."""
-    return F.coalesce(F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    """The normalised words of a text; none for a null.
+
+    One pass turns every break into a blank, and the text is split there. Extracting matches of the pattern would give the same
+    words, but copies the text for each match.
+    """
+    blanks = F.translate(text, UPPER + BREAKS, LOWER + " " * len(BREAKS))
+    return F.coalesce(F.array_remove(F.split(blanks, " "), ""), F.array().cast("array<string>"))
 
 
 def _starts(n: Column, size: int | Column) -> Column:
@@ -29,11 +37,8 @@ def _starts(n: Column, size: int | Column) -> Column:
     return F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
 
 
-def _hashed(split: Column, n: Column, size: int) -> Column:
-    return F.transform(
-        _starts(n, size),
-        lambda i: F.struct(i.alias("start"), F.lit(size).alias("size"), F.xxhash64(F.slice(split, i, size)).alias("hash")),
-    )
+def _hashes(split: Column, n: Column, size: int) -> Column:
+    return F.transform(_starts(n, size), lambda i: F.xxhash64(F.slice(split, i, size)))
 
 
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -84,9 +89,15 @@ def contamination(
 
     split = docs.select(F.col(doc_id).alias("doc_id"), F.md5(F.col(text)).alias("text_key"), words(F.col(text)).alias("words"))
     split = split.withColumn("n_words", F.size("words"))
-    found = [F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit(0).cast("long").alias("hash")))]
-    found += [_hashed(F.col("words"), F.col("n_words"), size) for size in sizes]
-    scanned = split.select("doc_id", "text_key", "n_words", "words", F.inline(F.concat(*found)))
+    # The marker's hash, then those of all windows, size by size: the place in this array tells which window it is.
+    hashes = F.concat(F.array(F.lit(0).cast("long")), *[_hashes(F.col("words"), F.col("n_words"), s) for s in sizes])
+    size, start, before = F.when(F.col("place") == 0, 0), F.when(F.col("place") == 0, 0), F.lit(0)
+    for s in sizes:
+        until = before + F.greatest(F.col("n_words") - s + 1, F.lit(0))
+        size, start = size.when(F.col("place") <= until, s), start.when(F.col("place") <= until, F.col("place") - before)
+        before = until
+    scanned = split.select("doc_id", "text_key", "n_words", "words", F.posexplode(hashes).alias("place", "hash"))
+    scanned = scanned.withColumns({"size": size, "start": start}).drop("place")
     here = F.slice("words", F.greatest(F.col("start"), F.lit(1)), F.col("size"))
     if is_small(lookup):
         lookup = F.broadcast(lookup)
@@ -96,7 +107,7 @@ def contamination(
         here = F.col("here")
     hits = (
         scanned.join(lookup, ["hash", "size"])
-        .filter((F.col("size") == 0) | (here == F.col("ngram")))
+        .filter(here == F.col("ngram"))
         .select("doc_id", "text_key", "n_words", "start", "size", "items")
     )
     # The items of a window are the same in every document, so sets of them stay small however often a window occurs.
@@ -175,8 +186,9 @@ def cut_words(text: Column, spans: Column) -> Column:
     Words and the pieces between them alternate: piece, word, piece, word, ..., piece. What stays is all pieces but those inside
     a span, and all words outside the spans, so the text is put together from one slice per gap between spans.
     """
-    gaps = F.split(text, WORD, -1)
-    whole = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    breaks = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    whole = F.array_remove(F.split(text, breaks, -1), "")
+    gaps = F.split(text, r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", -1)
     # From the end of one span to the start of the next; the piece after a span's last word belongs to the gap.
     firsts = F.concat(F.array(F.lit(1)), F.transform(spans, lambda r: r["last"] + 1))
     lasts = F.concat(F.transform(spans, lambda r: r["start"] - 1), F.array(F.size(whole)))
