@@ -91,24 +91,31 @@ def contamination(
     split = split.withColumn("n_words", F.size("words"))
     # The marker's hash, then those of all windows, size by size: the place in this array tells which window it is.
     hashes = F.concat(F.array(F.lit(0).cast("long")), *[_hashes(F.col("words"), F.col("n_words"), s) for s in sizes])
-    size, start, before = F.when(F.col("place") == 0, 0), F.when(F.col("place") == 0, 0), F.lit(0)
-    for s in sizes:
-        until = before + F.greatest(F.col("n_words") - s + 1, F.lit(0))
-        size, start = size.when(F.col("place") <= until, s), start.when(F.col("place") <= until, F.col("place") - before)
-        before = until
     scanned = split.select("doc_id", "text_key", "n_words", "words", F.posexplode(hashes).alias("place", "hash"))
-    scanned = scanned.withColumns({"size": size, "start": start}).drop("place")
-    here = F.slice("words", F.greatest(F.col("start"), F.lit(1)), F.col("size"))
+    before = [F.lit(0)]
+    for s in sizes:
+        before.append(before[-1] + F.greatest(F.col("n_words") - s + 1, F.lit(0)))
     if is_small(lookup):
+        # The words stay beside their windows inside the stage; only those of a window whose hash is known are compared.
+        start = F.when(F.col("size") == 0, F.col("place"))
+        for s, b in zip(sizes, before[:-1], strict=True):
+            start = start.when(F.col("size") == s, F.col("place") - b)
+        here = F.slice("words", F.greatest(start, F.lit(1)), F.col("size"))
         lookup = F.broadcast(lookup)
     else:
         # The windows are shuffled then, each with its own words instead of those of the whole text.
-        scanned = scanned.withColumn("here", here).drop("words")
-        here = F.col("here")
+        start, size = F.when(F.col("place") == 0, 0), F.when(F.col("place") == 0, 0)
+        for s, b, until in zip(sizes, before[:-1], before[1:], strict=True):
+            start, size = start.when(F.col("place") <= until, F.col("place") - b), size.when(F.col("place") <= until, s)
+        here = F.slice("words", F.greatest(start, F.lit(1)), size)
+        scanned = scanned.withColumns({"here": here, "start": start}).drop("words")
+        start, here = F.col("start"), F.col("here")
+    # A conditional, since an equality of words would be taken for a key and worked out for every window.
+    same = F.when(F.col("size") == 0, F.col("place") == 0).otherwise((F.col("place") > 0) & (start > 0) & (here == F.col("ngram")))
     hits = (
-        scanned.join(lookup, ["hash", "size"])
-        .filter(here == F.col("ngram"))
-        .select("doc_id", "text_key", "n_words", "start", "size", "items")
+        scanned.join(lookup, "hash")
+        .filter(same)
+        .select("doc_id", "text_key", "n_words", start.alias("start"), "size", "items")
     )
     # The items of a window are the same in every document, so sets of them stay small however often a window occurs.
     grouped = hits.groupBy("doc_id", "text_key").agg(
