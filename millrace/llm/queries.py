@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, rules
+from millrace.llm import chat, decontaminate, jaccard, rules
 from millrace.session import written
 from millrace.sources.tables import table
 
@@ -41,6 +41,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, folder, "documents"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """The statistics are computed once, learned from where there is a label, and judged everywhere."""
