@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, rules
+from millrace.llm import chat, decontaminate, jaccard, packing, rules
 from millrace.session import written
 from millrace.sources.tables import table
 
@@ -19,6 +19,20 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    cut = packing.pieces(table(spark, folder, "documents"), tokenizer_file())
+    return packing.pack(cut).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 @query
 def op2_chat_examples(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one more whose texts hold the template's own control strings."""
