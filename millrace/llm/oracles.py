@@ -1,6 +1,29 @@
 """The same results as SQL for another engine, where SQL can say them."""
 
+from millrace.llm import licenses
+
+
+def _license_sql() -> str:
+    line = "trim(regexp_replace(l, '[^0-9a-z\\x{80}-\\x{10FFFF}]+', ' ', 'g'))"
+    for raw, same in licenses.SPELLINGS:
+        line = f"regexp_replace({line}, '(^| ){raw}', '\\1{same}', 'g')"
+    known = ", ".join(f"('{d}', '{n}')" for d, n in licenses.known_digests())
+    return f"""
+        WITH known(digest, license) AS (VALUES {known}
+        ), lined AS (
+            SELECT row_number() OVER () AS r, doc_id, [x FOR x IN [{line} FOR l IN string_split(translate(coalesce(text, ''),
+                '{licenses.UPPER}', '{licenses.LOWER}'), chr(10)) IF NOT regexp_matches(l, '^ *(copyright|\\(c\\)|\\x{{A9}})')] IF x <> ''] AS lines
+            FROM documents
+        ), whole AS (SELECT r, doc_id, lines, sha256(coalesce(array_to_string(lines, ' '), '')) AS digest FROM lined
+        ), found AS (
+            SELECT DISTINCT r, license FROM (SELECT r, sha256(unnest(lines)) AS digest FROM lined) JOIN known USING (digest)
+        ), named AS (SELECT r, count(*) AS n, string_agg(license, ',' ORDER BY license) AS names FROM found GROUP BY r)
+        SELECT doc_id, digest, license, coalesce(n, 0) AS n_notices, coalesce(names, '') AS notices
+        FROM whole LEFT JOIN known USING (digest) LEFT JOIN named USING (r)"""
+
+
 ORACLES = {
+    "op4_license_scan": _license_sql(),
     "op2_chat_examples": r"""
         WITH given AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

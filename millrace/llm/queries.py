@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, packing, rules
+from millrace.llm import chat, decontaminate, jaccard, language, licenses, packing, rules
 from millrace.session import written
 from millrace.sources.tables import table
 
@@ -44,6 +44,30 @@ def op2_chat_examples(spark: SparkSession, folder: str) -> DataFrame:
     return chat.conversation_digests(chat.prefix_examples(given.unionByName(said)))
 
 
+def _fold(n: int) -> Column:
+    """The fold of a document: crc32 of its id as text, modulo ``n``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+@query
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Dictionaries come from the documents outside the held-out fold; every document is predicted from its text alone."""
+    docs = table(spark, folder, "documents")
+    model = language.learn_dictionaries(docs.filter(_fold(4) != 2))
+    return language.predict_language(docs, model).select(
+        "doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+@query
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, folder, "documents"), licenses.known_table(spark))
+    return found.select(
+        "doc_id", "digest", "license",
+        F.size("notices").cast("long").alias("n_notices"), F.array_join("notices", ",").alias("notices"),
+    )
+
+
 @query
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
