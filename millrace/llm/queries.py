@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, language, licenses, packing, rules
+from millrace.llm import chat, decontaminate, jaccard, language, licenses, packing, pii, rules
 from millrace.session import written
 from millrace.sources.tables import table
 
@@ -93,3 +93,28 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judged(stats, learned).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
     )
+
+
+@query
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii.find_personal_data(docs, pii.learn_field(docs))
+
+    def written_out(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    # By kind in the order of the list, then by place.
+    rank = F.create_map(*[F.lit(x) for k, kind in enumerate(pii.KINDS) for x in (kind, k)])
+    keyed = F.transform(
+        F.concat("base", "added"),
+        lambda s: F.struct(rank[s["kind"]].alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
+    )
+    return found.select(
+        "doc_id", *map(count, pii.KINDS),
+        F.sha2(written_out(F.col("base")), 256).alias("base_sha256"),
+        written_out(F.array_sort(keyed)).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
