@@ -9,27 +9,30 @@ from millrace.session import written
 
 
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
-    """(``left``, place): every end of an edge, and the least end that it is connected to.
+    """(``left``, place): every end of an edge, and the least end that it is connected to. An end is not null.
 
-    In each round a node takes the least label among its neighbours', and then the label of that label, which shortens
-    long chains by half. Labels only fall, and the rounds end when none does. Each round is a written table, so a lost executor
-    costs one round. A node with very many edges is reduced by partial aggregation.
+    In each round a node moves to the least of itself and its neighbours, and from there on to where that one moves. Then the
+    edges are drawn between the places reached, and those that lie inside one place, or twice, go. So the graph shrinks, and
+    the rounds end when no edge is left. Each round is a written table: a lost executor costs one round. A node with very many
+    edges is reduced by partial aggregation, and no table is larger than the given edges.
     """
-    both = edges.select(F.col(left).alias("a"), F.col(right).alias("b"))
-    both = written(both.union(both.select("b", "a")).distinct(), "edges")
-    labels = written(
-        both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("label")), "labels"
-    )
-    while True:
-        seen = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(seen, labels["node"] == seen["a"]).select(
-            "node", "label", F.least("label", "near").alias("next")
+    ends = edges.select(F.col(left).alias("a"), F.col(right).alias("b"))
+    nodes = ends.select(F.col("a").alias("node")).union(ends.select("b")).distinct()
+    labels = written(nodes.select("node", F.col("node").alias("label")), "labels")
+    rest = written(ends.filter("a <> b").distinct(), "edges")
+    while rest.head(1):
+        least = (
+            rest.select("a", "b").union(rest.select("b", "a")).groupBy("a")
+            .agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("to"))
+        )
+        least = written(least, "moves")
+        onward = least.select(F.col("node").alias("to"), F.col("to").alias("next"))
+        moves = written(least.join(onward, "to").select("node", F.least("to", "next").alias("to")), "moves")
+        labels = written(
+            labels.join(moves.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")),
+            "labels",
         )
-        jump = labels.select(F.col("node").alias("at"), F.col("label").alias("far"))
-        moved = lower.join(jump, lower["next"] == jump["at"]).select(
-            "node", F.least("next", "far").alias("new"), (F.least("next", "far") < F.col("label")).alias("fell")
-        )
-        moved = written(moved, "labels")
-        labels = moved.select("node", F.col("new").alias("label"))
-        if not moved.filter("fell").head(1):
-            return labels.select(F.col("node").alias(left), F.col("label").alias("place"))
+        drawn = rest.join(moves.select(F.col("node").alias("a"), F.col("to").alias("c")), "a")
+        drawn = drawn.join(moves.select(F.col("node").alias("b"), F.col("to").alias("d")), "b")
+        rest = written(drawn.filter("c <> d").select(F.col("c").alias("a"), F.col("d").alias("b")).distinct(), "edges")
+    return labels.select(F.col("node").alias(left), F.col("label").alias("place"))

@@ -30,7 +30,7 @@ TOLERANCE = 1e-6
 BLOCK = 256
 WORD = re.compile(r"\w+")
 
-SIGNED = "doc_id long, class string, n_shingles int, bands array<long>, signature binary"
+SIGNED = "doc_id long, text_key string, class string, n_shingles int, bands array<long>, signature binary"
 CACHED_WORDS = 300_000
 
 
@@ -77,7 +77,7 @@ def signature(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a, b = _permutations(ROWS * BANDS)
     for batch in batches:
-        rows = {"doc_id": batch.column(0), "class": [], "n_shingles": [], "bands": [], "signature": []}
+        rows = {"doc_id": batch.column(0), "text_key": batch.column(2), "class": [], "n_shingles": [], "bands": [], "signature": []}
         for text in batch.column(1):
             own = shingles(text.as_py())
             rows["n_shingles"].append(len(own))
@@ -95,13 +95,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows["signature"].append(sig.tobytes())
         yield pa.RecordBatch.from_arrays(
             [
-                rows["doc_id"].cast(pa.int64()),
+                rows["doc_id"],
+                rows["text_key"],
                 pa.array(rows["class"], pa.string()),
                 pa.array(rows["n_shingles"], pa.int32()),
                 pa.array(rows["bands"], pa.list_(pa.int64())),
                 pa.array(rows["signature"], pa.binary()),
             ],
-            names=["doc_id", "class", "n_shingles", "bands", "signature"],
+            names=["doc_id", "text_key", "class", "n_shingles", "bands", "signature"],
         )
 
 
@@ -239,11 +240,11 @@ def _with_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, class_id, n_links, n_copies, class``.
+    """One row per document: ``doc_id, class_id, n_links, n_copies, class, text_key, place``.
 
     ``class_id`` is the least document id of all that are connected by links or equal shingle sets, ``n_links`` the number of
-    other shingle sets linked to the document's own, ``n_copies`` the number of documents with its own set, and ``class``
-    a digest of that set. A link is a Jaccard similarity of ``THRESHOLD`` or more between sets of ``SHINGLE`` words.
+    other shingle sets linked to the document's own, ``n_copies`` the number of documents with its own set, ``class``
+    a digest of that set, ``text_key`` one of the text, and ``place`` names what ``class_id`` does when ids are null. A link is a Jaccard similarity of ``THRESHOLD`` or more between sets of ``SHINGLE`` words.
 
     Words are runs of letters, digits and underscores in lower case. A text of fewer words has one shingle of all of them. A
     text without words, or null, has no set: it is like nothing, and its ``class_id`` is its own id. Every row comes back,
@@ -253,7 +254,7 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     and a pair at the threshold is dropped by the tolerance in fewer cases still. A set is told by 64-bit hashes of its
     shingles.
     """
-    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), _text_key(text).alias("text_key"))
     signed = written(given.mapInArrow(_sign, SIGNED), "signed")
     members = signed.filter("class is not null")
     # Copies are counted before anything else happens to them, by partial sums.
@@ -288,20 +289,53 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     least = known.groupBy("place").agg(F.min("least").alias("class_id"))
     result = written(
         known.join(least, "place").join(counts, "class", "left")
-        .select("class", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies"),
+        .select("class", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies", "place"),
         "joined",
     )
     # A class may hold a third of all documents: the documents stay where they are if the classes are few, and are
     # split by adaptive execution otherwise.
-    return signed.select("doc_id", "class").join(result, "class", "left").select(
+    return signed.select("doc_id", "text_key", "class").join(result, "class", "left").select(
         "doc_id",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
         "class",
+        "text_key",
+        "place",
     )
 
 
+def _text_key(text: str) -> F.Column:
+    return F.coalesce(F.md5(F.col(text)), F.lit(""))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each group of ``jaccard_classes``: that of the least id, then the least digest of its text.
+
+    A null id comes last. Of rows with equal id and text one stays. Documents without words are in no group and all stay.
+    All columns of ``docs`` come back. Groups are reduced by partial minima, and the documents are joined with the winners by id
+    and digest, a row of numbers each.
+    """
+    found = written(jaccard_classes(docs, doc_id, text), "classes")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    grouped = found.filter("class is not null").groupBy("place")
+    best = grouped.agg(F.min(order).alias("w")).select("w.doc_id", "w.text_key")
+    wordless = found.filter("class is null").select("doc_id", "text_key").distinct()
+    stay = best.select("doc_id", "text_key", F.lit(True).alias("_once")).unionByName(wordless.withColumn("_once", F.lit(False)))
+    stay = written(stay.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_once"), "winners")
+    keyed = docs.withColumn("_text_key", _text_key(text))
+    kept = keyed.join(stay, F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
+    twice = (
+        found.filter("class is not null").groupBy("doc_id", "text_key").count().filter("count > 1")
+        .select(F.col("doc_id").alias("_twin"), F.col("text_key").alias("_twin_key"))
+    )
+    if not twice.head(1):
+        return kept.select(*docs.columns)
+    twins = F.col("_id").eqNullSafe(F.col("_twin")) & (F.col("_key") == F.col("_twin_key"))
+    single = kept.join(twice, twins, "left_anti").select(*docs.columns)
+    return single.unionByName(kept.join(twice, twins, "left_semi").dropDuplicates(["_id", "_key"]).select(*docs.columns))
+
+
 def _payload(given: DataFrame, signed: DataFrame, near: DataFrame) -> DataFrame:
     """``class, n_shingles, signature, shingles`` of the classes in ``near``, each from its first document.
 

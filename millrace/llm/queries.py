@@ -81,7 +81,9 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.jaccard_classes(table(spark, folder, "documents"))
+    return jaccard.jaccard_classes(table(spark, folder, "documents")).select(
+        "doc_id", "class_id", "n_links", "n_copies", "class"
+    )
 
 
 @query
