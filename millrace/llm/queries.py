@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, language, licenses, packing, pii, rules
+from millrace.llm import chat, decontaminate, jaccard, language, licenses, packing, passages, pii, rules
 from millrace.session import written
 from millrace.sources.tables import table
 
@@ -120,3 +120,16 @@ def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         written_out(F.array_sort(keyed)).alias("spans"),
         F.size("added").cast("long").alias("n_added"),
     )
+
+
+@query
+def op9_quality_attention(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of the held-out fold are never read; every document is scored from its text alone."""
+    docs = table(spark, folder, "documents")
+    model = passages.learn_attention(docs, table(spark, folder, "labels").filter(_fold(5) != 0))
+    return passages.score_documents(docs, model).select(
+        "doc_id",
+        F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= passages.CUT).cast("int").alias("predicted"),
+    )
