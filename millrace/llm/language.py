@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN = "und"
-SAMPLES, EXCERPT = 256, 1_000
+SAMPLES, EXCERPT = 64, 1_000
 SEGMENT = 2_000
 NARROW = 0.02
-LEVEL = 1
+LEVEL = 5
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 

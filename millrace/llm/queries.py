@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, language, licenses, packing, passages, pii, rules
+from millrace.llm import chat, decontaminate, jaccard, language, licenses, packing, passages, pii, rules, suffixes
 from millrace.session import written
 from millrace.sources.tables import table
 
@@ -133,3 +133,14 @@ def op9_quality_attention(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= passages.CUT).cast("int").alias("predicted"),
     )
+
+
+@query
+def op10_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.repeated_passages(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_repeated",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["last"])), ",").alias("spans"),
+        (F.col("n_repeated") > 0).alias("repeated"),
+    )
