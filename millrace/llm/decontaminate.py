@@ -180,11 +180,12 @@ def without_hits(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text
     ).dropDuplicates(["_id", "_key"])
     if is_small(cuts):
         cuts = F.broadcast(cuts)
-    joined = docs.join(
-        cuts, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.md5(F.col(text)) == F.col("_key")), "left"
-    ).filter(~F.coalesce(F.col("_all"), F.lit(False)))
-    cut = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(cut_words(F.col(text), F.col("_spans")))
-    return joined.withColumn(text, cut).select(*docs.columns)
+    # The rows are wrapped, so that no column of theirs is taken for one of these.
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(doc_id).alias("_at"), F.col(text).alias("_text"))
+    same = F.col("_at").eqNullSafe(F.col("_id")) & (F.md5("_text") == F.col("_key"))
+    kept = rows.join(cuts, same, "left").filter(~F.coalesce(F.col("_all"), F.lit(False)))
+    cut = F.when(F.col("_spans").isNull(), F.col("_text")).otherwise(cut_words(F.col("_text"), F.col("_spans")))
+    return kept.select("_row", cut.alias("_text")).select(F.col("_row").withField(text, F.col("_text")).alias("_row")).select("_row.*")
 
 
 def cut_words(text: Column, spans: Column) -> Column:

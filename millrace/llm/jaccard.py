@@ -321,19 +321,23 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     grouped = found.filter("class is not null").groupBy("place")
     best = grouped.agg(F.min(order).alias("w")).select("w.doc_id", "w.text_key")
     wordless = found.filter("class is null").select("doc_id", "text_key").distinct()
-    stay = best.select("doc_id", "text_key", F.lit(True).alias("_once")).unionByName(wordless.withColumn("_once", F.lit(False)))
-    stay = written(stay.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_once"), "winners")
-    keyed = docs.withColumn("_text_key", _text_key(text))
-    kept = keyed.join(stay, F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
-    twice = (
-        found.filter("class is not null").groupBy("doc_id", "text_key").count().filter("count > 1")
-        .select(F.col("doc_id").alias("_twin"), F.col("text_key").alias("_twin_key"))
-    )
+    stay = best.unionByName(wordless)
+    stay = written(stay, "winners")
+    # The rows are wrapped, so that no column of theirs is taken for one of these.
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), _text_key(text).alias("text_key")
+    )
+    twice = found.filter("class is not null").groupBy("doc_id", "text_key").count().filter("count > 1").drop("count")
+
+    def joined(ids: DataFrame, how: str) -> DataFrame:
+        return rows.join(ids, rows["doc_id"].eqNullSafe(ids["doc_id"]) & (rows["text_key"] == ids["text_key"]), how)
+
     if not twice.head(1):
-        return kept.select(*docs.columns)
-    twins = F.col("_id").eqNullSafe(F.col("_twin")) & (F.col("_key") == F.col("_twin_key"))
-    single = kept.join(twice, twins, "left_anti").select(*docs.columns)
-    return single.unionByName(kept.join(twice, twins, "left_semi").dropDuplicates(["_id", "_key"]).select(*docs.columns))
+        return joined(stay, "left_semi").select("row.*")
+    twins = F.col("stay.doc_id").eqNullSafe(F.col("twice.doc_id")) & (F.col("stay.text_key") == F.col("twice.text_key"))
+    alone, several = (written(stay.alias("stay").join(twice.alias("twice"), twins, how), "winners") for how in ("left_anti", "left_semi"))
+    first = joined(several, "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return joined(alone, "left_semi").select("row.*").unionByName(first.select("row.*"))
 
 
 def _payload(given: DataFrame, signed: DataFrame, near: DataFrame) -> DataFrame:
