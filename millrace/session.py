@@ -21,11 +21,15 @@ SETTINGS = {
 _own_folder: dict[str, str] = {}
 
 
-def local_session(app: str, cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and benchmarks."""
+def local_session(
+    app: str, cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared: str | None = None
+) -> SparkSession:
+    """A single-machine session for tests and benchmarks, with ``shared`` as its working folder."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)

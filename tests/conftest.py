@@ -12,9 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("tests", "8", shuffle_partitions=8, memory="6g")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session = local_session("tests", "8", shuffle_partitions=8, memory="6g", shared=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
