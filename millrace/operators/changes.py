@@ -19,16 +19,17 @@ def content_hash(df: DataFrame, key: str) -> DataFrame:
 
 def diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """``key, change_type`` for every key that was inserted, updated or deleted. Only keys and digests are shuffled."""
-    before = content_hash(old, key).withColumnRenamed("_hash", "_old")
-    after = content_hash(new, key).withColumnRenamed("_hash", "_new")
+    before = content_hash(old, key).toDF("_old_key", "_old")
+    after = content_hash(new, key).toDF("_new_key", "_new")
     change = (
         F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").when(
             F.col("_old") != F.col("_new"), "update"
         )
     )
+    # A NULL key is the same as another NULL key.
     return (
-        before.join(after, key, "full_outer")
-        .select(key, change.alias("change_type"))
+        before.join(after, F.col("_old_key").eqNullSafe(F.col("_new_key")), "full_outer")
+        .select(F.coalesce("_old_key", "_new_key").alias(key), change.alias("change_type"))
         .filter(F.col("change_type").isNotNull())
     )
 

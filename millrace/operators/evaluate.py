@@ -42,11 +42,14 @@ def passage_sources(passages: DataFrame, documents: DataFrame, id_col: str, text
     )
 
 
-def hit_rates(answers: Mapping[str, DataFrame], truth: DataFrame, paths: DataFrame) -> DataFrame:
+def hit_rates(
+    answers: Mapping[str, DataFrame], truth: DataFrame, paths: DataFrame, asked: DataFrame | None = None
+) -> DataFrame:
     """Per method, the share of questions with at least one right document among their hits.
 
     ``answers`` are ranked hits with ``chunk_id``, ``truth`` has ``query_id, path``, and ``paths`` gives the document of
-    each chunk. Questions without a right answer in the corpus do not count.
+    each chunk. ``asked`` has the ``query_id`` of every question that counts. Without it, those of ``truth`` count, and
+    questions without a right answer in the corpus do not.
     """
     tagged = reduce(
         DataFrame.unionAll,
@@ -54,7 +57,7 @@ def hit_rates(answers: Mapping[str, DataFrame], truth: DataFrame, paths: DataFra
     )
     documents = lookup_join(paths.select("chunk_id", "path"), tagged, ["chunk_id"]).select("method", "query_id", "path")
     right = documents.join(truth, ["query_id", "path"], "left_semi").select("method", "query_id").distinct()
-    total = truth.agg(F.count_distinct("query_id")).scalar()
+    total = (truth if asked is None else asked).agg(F.count_distinct("query_id")).scalar()
     names = truth.sparkSession.createDataFrame([(name,) for name in answers], "method string")
     return (
         names.join(right.groupBy("method").agg(F.count(F.lit(1)).alias("hits")), "method", "left")

@@ -107,14 +107,17 @@ def ask(lake: Lake, questions: DataFrame, k: int = 5, method: str = "HYBRID") ->
 
 
 def evaluate_retrieval(lake: Lake, questions: DataFrame, k: int = 5) -> DataFrame:
-    """Hit rates by method for ``query_id, query, expected_source``; a source is a file name."""
+    """Hit rates by method for ``query_id, query, expected_source``; a source is a file name.
+
+    Every question counts, whether its source is in the index or not.
+    """
     chunks = lake.index.read()
     index = search.build_index(chunks)
     found = search.search_all(index, search.question_terms(questions, "query_id", "query"), k)
     # A question expects a file name, which every path ends with after a slash.
     named = chunks.select("path").distinct().withColumn("file", F.substring_index("path", "/", -1))
     truth = questions.join(named, questions["expected_source"] == named["file"]).select("query_id", "path")
-    return evaluate.hit_rates(found, truth, index.terms)
+    return evaluate.hit_rates(found, truth, index.terms, questions.select("query_id"))
 
 
 def forget_documents(lake: Lake, paths: DataFrame, at: datetime) -> DataFrame:

@@ -41,8 +41,9 @@ def lookup_join(
         raise ValueError(f"cannot spread a {how} join")
     if is_small(small, max_rows):
         return big.join(F.broadcast(small), on, how)
-    # The salt depends on row content only, so a recomputed task puts each row in the same place.
-    salt = F.pmod(F.xxhash64(spread_by if spread_by is not None else F.struct("*")), F.lit(spread)).cast("int")
+    # The salt depends on row content only, so a recomputed task puts each row in the same place. JSON can be hashed for columns
+    # of any type, VARIANT and MAP among them.
+    salt = F.pmod(F.xxhash64(spread_by if spread_by is not None else F.to_json(F.struct("*"))), F.lit(spread)).cast("int")
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     return big.withColumn("_salt", salt).join(copies, [*on, "_salt"], how).drop("_salt")
 

@@ -101,3 +101,19 @@ def test_health(spark):
     empty = spark.range(0)
     assert rows(health.table_health({"a": spark.range(3), "b": empty})) == [("a", 3, "PASS"), ("b", 0, "FAIL")]
     assert tuple(health.canary({"x": spark.range(3), "y": empty}).first()) == (3, 0)
+
+
+def test_null_keys_are_compared(spark):
+    df = spark.createDataFrame([(None, "a"), ("k", "b")], "k string, v string")
+    assert rows(ch.diff(df, df, "k")) == []
+    assert rows(ch.diff(df, df.filter("k = 'k'"), "k")) == [(None, "delete")]
+
+
+@pytest.mark.parametrize("max_rows", [1, 100])
+def test_spread_join_of_any_column_type(spark, max_rows):
+    big = spark.range(60).select(
+        (F.col("id") % 6).alias("k"), F.parse_json(F.lit('{"a": 1}')).alias("v"), F.create_map(F.lit("x"), "id").alias("m"),
+        F.encode(F.col("id").cast("string"), "utf-8").alias("b"),
+    )
+    small = spark.range(3).select(F.col("id").alias("k"))
+    assert lookup_join(big, small, ["k"], "left_anti", max_rows=max_rows).count() == 30

@@ -10,15 +10,15 @@ from millrace.sources.tables import table
 
 AT = datetime(2024, 1, 1)
 PAGES = {
-    "returns": "Anything electronic may come back within thirty days of delivery, in its box and with all its parts.",
-    "shipping": "Parcels go to forty countries abroad; customs duties on international orders are paid by whoever receives them.",
-    "warranty": "The manufacturer warranty covers defects of material and workmanship for twelve months of normal use.",
-    "letter": "My loudspeaker came cracked, so replace it please and write to jane.doe@example.com or call +1 415 555 0182.",
+    "tides": "Spring tides follow the new and the full moon, when the pull of sun and moon adds up along one line through the earth.",
+    "bread": "A sourdough loaf rises slowly at room temperature, since wild yeast needs many hours to fill the crumb with gas.",
+    "glass": "Window glass is poured on molten tin, where it spreads into a ribbon that is flat on both sides without polishing.",
+    "letter": "The reading room keeps my umbrella, so tell the porter please, at mila.b@library.example or +49 30 7654 3210.",
 }
 QUESTIONS = [
-    (1, "how many days until electronic parts may come back", "returns.html"),
-    (2, "who pays customs duties for international parcels", "shipping.html"),
-    (3, "what does the manufacturer warranty cover", "warranty.html"),
+    (1, "when do spring tides follow the moon", "tides.html"),
+    (2, "why does a sourdough loaf rise slowly", "bread.html"),
+    (3, "what is window glass poured on", "glass.html"),
 ]
 
 
@@ -44,7 +44,7 @@ def test_tables_and_checks(lake):
     health = {r.table_name: r.row_count for r in jobs.verify(lake).collect()}
     assert set(health) == {*jobs.ORDER_TABLES, *jobs.DOCUMENT_TABLES, "customer_features", "index"}
     assert (health["docs_bronze"], health["docs_parsed"], health["docs_enriched"], health["chunks"]) == (5, 5, 4, 4)
-    assert lake.read("chunks").filter(F.col("chunk_to_embed").rlike("@|415")).count() == 0
+    assert lake.read("chunks").filter(F.col("chunk_to_embed").rlike("@|7654")).count() == 0
     jobs.publish_quality(lake)
     assert lake.spark.sql("SELECT sum(failed_records) FROM orders_quality_log WHERE name = 'valid_price'").first()[0] == 0
     assert rows(lake.read("quality_log").select("name")) == [("known_status",), ("valid_order_key",), ("valid_price",)]
@@ -59,13 +59,17 @@ def test_questions_and_hit_rates(lake, spark):
     questions = spark.createDataFrame(QUESTIONS, "query_id int, query string, expected_source string")
     best = jobs.ask(lake, questions, k=1).collect()
     assert {r.query_id: r.source_uri.split("/")[-1] for r in best} == {
-        1: "returns.html (p.0)",
-        2: "shipping.html (p.0)",
-        3: "warranty.html (p.0)",
+        1: "tides.html (p.0)",
+        2: "bread.html (p.0)",
+        3: "glass.html (p.0)",
     }
     assert {r.method: r.hit_rate for r in jobs.evaluate_retrieval(lake, questions).collect()}["HYBRID"] == 1.0
     with pytest.raises(ValueError, match="method"):
         jobs.ask(lake, questions, method="GUESS")
+    # A question whose source is not in the index was asked all the same, and fails.
+    lost = questions.union(spark.createDataFrame([(4, "how deep is the lake", "lake.html")], questions.schema))
+    measured = {r.method: (r.hits, r.questions) for r in jobs.evaluate_retrieval(lake, lost).collect()}
+    assert measured["HYBRID"] == (3, 4)
 
 
 def test_forgetting_reaches_every_table_and_lasts(lake, spark):
@@ -75,7 +79,7 @@ def test_forgetting_reaches_every_table_and_lasts(lake, spark):
     assert report == {"docs_bronze": (5, 1, 0), "docs_parsed": (5, 1, 0), "docs_enriched": (4, 1, 0), "chunks": (4, 1, 0)}
     for df in [*(lake.read(name) for name in jobs.DOCUMENT_TABLES), lake.index.read()]:
         assert df.filter(F.col("path") == path).count() == 0 and df.count() > 0
-    question = spark.createDataFrame([(9, "cracked loudspeaker replace")], "query_id int, query string")
+    question = spark.createDataFrame([(9, "umbrella in the reading room")], "query_id int, query string")
     assert jobs.ask(lake, question, k=10).filter(F.col("source_uri").contains("letter")).count() == 0
     with pytest.raises(ValueError, match="in use"):
         jobs.drop_generation(lake, lake.generation())
@@ -85,6 +89,6 @@ def test_forgetting_reaches_every_table_and_lasts(lake, spark):
     (lake.landing / "more.html").write_text(page("More", "One more page that is long enough to become a chunk of its own."))
     jobs.refine_documents(lake, str(lake.landing))
     names = sorted(r.path.split("/")[-1] for r in lake.read("docs_bronze").collect())
-    assert names == ["cut.html", "more.html", "returns.html", "shipping.html", "warranty.html"]
+    assert names == ["bread.html", "cut.html", "glass.html", "more.html", "tides.html"]
     jobs.sync_index(lake)
     assert lake.index.read().filter(F.col("path").endswith("/more.html")).count() == 1
