@@ -24,15 +24,15 @@ WINDOW = 3
 
 # The statistics that rules put thresholds on: shares of the text, so that they mean the same for texts of any length.
 FEATURES = {
-    "n_words": F.col("n_words"),
-    "word_length": F.col("word_chars") / F.greatest("n_words", F.lit(1)),
-    "symbols_per_word": F.col("n_symbols") / F.greatest("n_words", F.lit(1)),
-    "dup_line_share": F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)),
-    "repeat_share": F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)),
-    "upper_share": F.col("n_upper") / F.greatest("word_chars", F.lit(1)),
-    "digit_share": F.col("n_digits") / F.greatest("word_chars", F.lit(1)),
-    "mark_share": F.col("n_marks") / F.greatest("word_chars", F.lit(1)),
-    "distinct_share": F.col("n_distinct") / F.greatest("n_words", F.lit(1)),
+    "n_words": "n_words",
+    "word_length": "word_chars / greatest(n_words, 1)",
+    "symbols_per_word": "n_symbols / greatest(n_words, 1)",
+    "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
+    "repeat_share": "n_repeat_words / greatest(n_words, 1)",
+    "upper_share": "n_upper / greatest(word_chars, 1)",
+    "digit_share": "n_digits / greatest(word_chars, 1)",
+    "mark_share": "n_marks / greatest(word_chars, 1)",
+    "distinct_share": "n_distinct / greatest(n_words, 1)",
 }
 
 
@@ -101,7 +101,7 @@ class Test:
     value: float
 
     def column(self) -> Column:
-        x = FEATURES[self.feature]
+        x = F.expr(FEATURES[self.feature])
         return x >= F.lit(self.value) if self.above else x < F.lit(self.value)
 
     def __str__(self) -> str:
@@ -163,7 +163,7 @@ def learn_rules(
     rows = labelled.filter(F.col(label).isNotNull()).select(
         (F.col(label) == 0).alias("_bad"),
         (F.pmod(F.xxhash64(key), F.lit(3)) < 2).alias("_grow"),
-        *[x.cast("double").alias(name) for name, x in FEATURES.items()],
+        *[F.expr(x).cast("double").alias(name) for name, x in FEATURES.items()],
     )
     rows = written(rows, "labelled")
     shares = [k / (cuts + 1) for k in range(1, cuts + 1)]
