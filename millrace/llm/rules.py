@@ -254,12 +254,11 @@ def judged(stats: DataFrame, rules: DecisionList) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that neither the base rule nor a rule learned from ``labels`` rejects, with all their columns.
 
-    Statistics are worked out for the labelled documents to learn from them, and again in the pass that filters, which keeps
-    texts where they are. Columns named like a statistic are put aside meanwhile.
+    Statistics of all documents are written, without texts, to learn from those that have a label, and worked out again in
+    the pass that filters. So no text is shuffled, whatever the number of labels. Columns named like a statistic are put aside meanwhile.
     """
     given = docs.select(F.struct(*docs.columns).alias("_row"), F.col(doc_id).alias("_doc_id"), F.col(text).alias("_text"))
-    ids = labels.select(F.col(doc_id).alias("_doc_id")).distinct()
-    known = written(text_statistics(given.drop("_row").join(ids, "_doc_id", "left_semi"), "_text").drop("_text"), "known")
+    known = written(text_statistics(given.drop("_row"), "_text").drop("_text"), "known")
     learned = learn_from(known.withColumnRenamed("_doc_id", doc_id), labels, doc_id)
     # A filter on plain columns would be moved below the statistics, with all of their expressions in it, time and again.
     seen = judged(text_statistics(given, "_text"), learned)
