@@ -2,7 +2,8 @@
 
 Only suffixes at minimiser positions are kept: the least hash in each window of word grams, so that equal passages keep equal
 positions. They are sorted all together, and each is compared with its neighbours in other documents, to the right and to
-the left. What matches around neighbouring positions is put together, and passages that are long enough are reported.
+the left. Passages whose partner may lie beyond the neighbours are compared by hash. What matches is put together, and passages that are long
+enough are reported.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.jaccard import WORD, _hashes, _signed
 from millrace.session import written
+from millrace.sizing import lookup_join
 
 PASSAGE = 50  # words that a reported passage has at least
 GRAM = 16
@@ -104,50 +106,97 @@ def _common(a: bytes, b: bytes) -> int:
     return int(differ[0]) if len(differ) else n
 
 
-MATCHED = "key long, start int, until int, edge boolean, gram long, right binary, left binary, pos int"
+MATCHED = "key long, start int, until int, hash long, known boolean"
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted suffixes to the range of words that each shares with its neighbours of other texts.
+def window_hashes(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """Hashes of the passages around suffixes: a row per suffix, and a column per number of words, ``WINDOW - 1`` to 0, to the left of it.
+
+    What lies beyond a text counts as zeros; such columns mean nothing.
+    """
+    n, before = len(left), WINDOW - 1
+    words = np.empty((n, before + PASSAGE), np.uint64)
+    # The words to the left come nearest first.
+    words[:, :before] = np.frombuffer(b"".join(x[: 4 * before].ljust(4 * before, b"\0") for x in left), ">u4").reshape(n, before)[:, ::-1]
+    words[:, before:] = np.frombuffer(b"".join(x[: 4 * PASSAGE].ljust(4 * PASSAGE, b"\0") for x in right), ">u4").reshape(n, PASSAGE)
+
+    def both(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        z = (x * np.uint64(0x9E3779B97F4A7C15)) ^ (y + np.uint64(0x2545F4914F6CDD1D))
+        z = (z ^ (z >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        return z ^ (z >> np.uint64(29))
+
+    # Runs of 1, 2, 4, ... words, and of these the ones that make up a passage.
+    whole, size, runs = None, 0, words
+    for bit in range(PASSAGE.bit_length()):
+        if bit:
+            half = 1 << (bit - 1)
+            runs = both(runs[:, :-half], runs[:, half:])
+        if PASSAGE >> bit & 1:
+            part = runs[:, size : size + WINDOW]
+            whole, size = part if whole is None else both(whole, part), size + (1 << bit)
+    return whole
 
-    A stretch of suffixes of one text lies between two of other texts, and each of it is compared with both. The first and
-    last suffix of a sorted part, and of each text at its ends, are passed on as edges, since their neighbours lie in another part.
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted suffixes to the range of words that each shares with its neighbours of other texts, and to the hashes of open passages.
+
+    A stretch of suffixes of one text lies between two of other texts, and each of it is compared with both. Suffixes that have a passage
+    in common have the right part of it in common, so they lie in one run in which all have that right part, maybe with others between them
+    whose left part differs. Where a neighbour has the right part of a passage but not its left part, or is in another sorted part,
+    the passage's hash is given out, and whether the other neighbour is already known to have it. If the stretch is longer,
+    it is given out for all right parts in common with a neighbour. So of any two texts with a passage, each either has a neighbour with it, or
+    its hash meets one of another text, or a known one.
     """
-    out: list[tuple] = []
+    found: list[tuple] = []
+    open_: list[tuple] = []
     before: tuple | None = None  # the last suffix of the text before the stretch
     stretch: list[tuple] = []
-    edges: list[tuple] = []
-
-    def match(x: tuple, other: tuple) -> None:
-        if x[0] == other[0]:
-            right, left = _common(x[1], other[1]), _common(x[2], other[2])
-            if right >= GRAM and left + right >= PASSAGE:
-                out.append((x[3], x[4] - left, x[4] + right, False, None, None, None, None))
 
-    def edge(x: tuple) -> None:
-        out.append((x[3], None, None, True, x[0], x[1], x[2], x[4]))
+    def close(after: tuple | None) -> None:
+        for x in stretch:
+            top, known = -PASSAGE, []
+            for other in (before, after):
+                if other is None:
+                    top = 0
+                elif x[0] == other[0]:
+                    right, left = _common(x[1], other[1]), _common(x[2], other[2])
+                    if right >= GRAM and left + right >= PASSAGE:
+                        found.append((x[3], x[4] - left, x[4] + right))
+                        known.append((-left, right - PASSAGE))
+                    top = max(top, right - PASSAGE if len(stretch) > 1 else min(right - PASSAGE, -left - 1))
+            first = -min(WINDOW - 1, len(x[2]) // 4)
+            last = min(top, 0, len(x[1]) // 4 - PASSAGE)
+            if first <= last:
+                open_.append((x, first, last, known))
 
     def table() -> pa.RecordBatch:
-        columns = list(zip(*out, strict=True)) if out else [()] * 8
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.int32())
-        out.clear()
-        names = ["key", "start", "until", "edge", "gram", "right", "left", "pos"]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+        key, start, until = (list(c) for c in zip(*found, strict=True)) if found else ([], [], [])
+        hashes, sure = [None] * len(key), [None] * len(key)
+        if open_:
+            passages = window_hashes([o[0][2] for o in open_], [o[0][1] for o in open_]).astype(np.int64, casting="unsafe")
+            for (x, first, last, known), row in zip(open_, passages.tolist(), strict=True):
+                for at in range(first, last + 1):
+                    key.append(x[3])
+                    start.append(x[4] + at)
+                    until.append(x[4] + at + PASSAGE)
+                    hashes.append(row[WINDOW - 1 + at])
+                    sure.append(any(a <= at <= b for a, b in known))
+        found.clear()
+        open_.clear()
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_())
+        columns = (key, start, until, hashes, sure)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["key", "start", "until", "hash", "known"]
+        )
 
     for batch in batches:
         for x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if stretch and x[3] != stretch[-1][3]:
-                for y in stretch:
-                    match(y, x)
-                if before is None:
-                    edges += [stretch[0], stretch[-1]]
+                close(x)
                 before, stretch = stretch[-1], []
-            if before is not None:
-                match(x, before)
             stretch.append(x)
         yield table()
-    for x in {(x[3], x[4]): x for x in [*edges, *stretch[:1], *stretch[-1:]]}.values():
-        edge(x)
+    close(None)
     yield table()
 
 
@@ -161,7 +210,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     Documents of equal words are one text here, so copies add no suffixes. Suffixes whose gram occurs in one text only are left
     out before contexts are fetched. Sorting is by ranges of gram, context and text, so a gram that a third of all texts share
-    is split over many parts, and the edges of parts, two or three rows each, are compared in a step of their own.
+    is split over many parts. Passages that neighbours leave open, at the edges of parts too, are looked up by hash among each other.
     """
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     keyed = written(given.mapInArrow(_keyed, "doc_id long, key long, n_words long, grams array<long>"), "keyed")
@@ -181,10 +230,11 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         "gram", "right", "left", "key", "pos"
     )
     matched = written(ordered.mapInArrow(_neighbours, MATCHED), "matched")
-    edges = matched.filter("edge").select("gram", "right", "left", "key", "pos")
-    # A few rows for each part, whatever the input: their order is that of the parts.
-    joined = edges.repartition(1).sortWithinPartitions("gram", "right", "left", "key", "pos").mapInArrow(_neighbours, MATCHED)
-    ranges = matched.filter("not edge").union(joined.filter("not edge")).select(
+    passages = matched.filter("hash is not null")
+    several = passages.groupBy("hash").agg(F.min("key").alias("least"), F.max("key").alias("most"), F.max("known").alias("known"))
+    several = written(several.filter("known or least < most").select("hash"), "several")
+    met = lookup_join(passages.filter("not known"), several, ["hash"], "left_semi")
+    ranges = matched.filter("hash is null").union(met.select(matched.columns)).select(
         "key", F.struct((F.col("start") + 1).alias("start"), F.col("until").alias("last")).alias("r")
     )
     spans = ranges.groupBy("key").agg(F.collect_set("r").alias("ranges")).mapInArrow(_join_ranges, JOINED)
