@@ -25,6 +25,7 @@ END_ID = 1
 SHARD = 4096
 ISLANDS, EPOCHS, POPULATION, CHILDREN = 3, 2, 5, 6
 WELL_FILLED = 0.98
+PROGRESS = 0.25
 CACHED_CHUNKS = 600_000
 
 PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -281,9 +282,9 @@ def _as_ints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.binary())], names=["shard", "lengths"])
 
 
-def _round(small: DataFrame, shards: int) -> DataFrame:
-    """One packing of all rows of ``small``, dealt over ``shards``."""
-    deal = F.pmod(F.xxhash64("row", F.lit(shards)), F.lit(shards))
+def _round(small: DataFrame, shards: int, number: int) -> DataFrame:
+    """One packing of all rows of ``small``, dealt over ``shards``. Each round, by its ``number``, deals and evolves in its own way."""
+    deal = F.pmod(F.xxhash64("row", F.lit(shards), F.lit(number)), F.lit(shards))
     item = F.struct("length", "row", "doc_id", "piece", "start", "ids_crc32")
     dealt = small.select(deal.alias("shard"), item.alias("item")).groupBy("shard")
     dealt = written(dealt.agg(F.array_sort(F.collect_list("item")).alias("items")), "shards")
@@ -297,7 +298,7 @@ def _round(small: DataFrame, shards: int) -> DataFrame:
     for epoch in range(EPOCHS):
         # One row is one island, and the islands are shared out singly.
         islands = islands.repartition(max(1, min(shards * ISLANDS, 20_000)), "shard", "island")
-        islands = written(islands.select("shard", "island", "lengths", "population").mapInArrow(_epoch(epoch), ISLAND), "islands")
+        islands = written(islands.select("shard", "island", "lengths", "population").mapInArrow(_epoch(number * EPOCHS + epoch), ISLAND), "islands")
         if epoch + 1 < EPOCHS:
             elite = islands.select(
                 "shard", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.element_at("population", 1).alias("elite")
@@ -315,7 +316,8 @@ def pack(cut: DataFrame, shard: int = SHARD) -> DataFrame:
 
     A piece of the full length is a sequence of its own. The others go through rounds: in each, shards of about ``shard``
     pieces are packed, bins filled to ``WELL_FILLED`` are done, and the rest goes to the next round, until one shard holds what is
-    left. No pieces give no rows. The number of shards follows the number of pieces, and a piece's shard its row
+    left. Where the bins that are done hold less than ``PROGRESS`` of a round's pieces, small pieces to fill up the others are missing,
+    and all bins of the round are taken. So the number of rounds grows with the logarithm of the number of pieces at most. No pieces give no rows. The number of shards follows the number of pieces, and a piece's shard its row
     number, so neither equal lengths nor copies gather anywhere.
     """
     cut = written(cut, "pieces")
@@ -327,11 +329,13 @@ def pack(cut: DataFrame, shard: int = SHARD) -> DataFrame:
     left, number = cut.filter(F.col("length") < CAPACITY).select(*names), 0
     while n := left.count():
         shards = -(-n // shard)
-        placed = _round(left, shards)
-        well = (F.col("fill") >= WELL_FILLED * CAPACITY) if shards > 1 else F.lit(True)
+        placed = _round(left, shards, number)
+        well = F.col("fill") >= WELL_FILLED * CAPACITY
+        last = shards == 1 or placed.filter(well).count() < PROGRESS * n
+        ready = placed if last else placed.filter(well)
         bin_number = F.lit(number << 53) + F.shiftleft(F.col("shard"), 13) + F.col("bin")
-        done = done.unionByName(placed.filter(well).select(*names, (bin_number * 2).alias("sequence_id"), "offset"))
-        if shards == 1:
+        done = done.unionByName(ready.select(*names, (bin_number * 2).alias("sequence_id"), "offset"))
+        if last:
             break
         left, number = placed.filter(~well).select(*names), number + 1
     return done

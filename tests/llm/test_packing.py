@@ -61,6 +61,27 @@ def test_empty(none):
     assert packing.pack(packing.pieces(none, FILE)).count() == 0
 
 
+@pytest.mark.parametrize("length, small, least", [("3000L", 0, 1200), ("2100 + id % 1900", 300, 1200)])
+def test_pieces_that_fill_no_bin(spark, monkeypatch, length, small, least):
+    """Pieces above half the capacity, without enough small ones to fill them up: rounds end, and each has one bin."""
+    rounds, real = [], packing._round
+
+    def counted(*args):
+        rounds.append(args)
+        assert len(rounds) < 20
+        return real(*args)
+
+    monkeypatch.setattr(packing, "_round", counted)
+    monkeypatch.setattr(packing, "CHILDREN", 2)
+    cut = spark.range(least + small).selectExpr(
+        "id AS row", "id AS doc_id", "0 AS piece", "0L AS start", f"CASE WHEN id < {least} THEN {length} ELSE 40L END AS length", "0L AS ids_crc32"
+    )
+    placed = packing.pack(cut, 64)
+    groups = check(placed)
+    assert sorted(r["row"] for r in placed.collect()) == list(range(least + small))
+    assert least <= len(groups) <= least + small // 60
+
+
 def test_operators_keep_every_piece():
     rng = np.random.default_rng(3)
     lengths = rng.integers(1, 4000, 300)
