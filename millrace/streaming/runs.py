@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-from millrace.operators.expectations import Rule, log_rows, observed
+from millrace.operators.expectations import LOG_SCHEMA, Rule, log_rows, observed
 
 RUN_MODES = ("triggered", "continuous")
 
@@ -40,26 +42,33 @@ def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 def run_checked(
     stream: DataFrame, rules: Sequence[Rule], dataset: str, path: str, checkpoint: str, at: datetime
 ) -> tuple[DataFrame, DataFrame]:
-    """Like :func:`run_to_end` with quality rules; also returns the log rows of this run, one per batch and rule."""
-    query = start(observed(stream, rules, dataset), path, checkpoint)
-    query.awaitTermination()
-    spark = stream.sparkSession
-    log = log_rows(spark, {}, [], dataset, at)
-    for progress in query.recentProgress:
-        counts = progress["observedMetrics"].get(dataset)
-        if counts is not None:
-            log = log.unionByName(log_rows(spark, dict(_named(counts, rules)), rules, dataset, at))
-    return spark.read.schema(stream.schema).parquet(path), log
-
-
-def _named(counts: object, rules: Sequence[Rule]) -> list[tuple[str, int]]:
-    """Counts by name, whether the progress holds a row, a dictionary or plain values."""
-    names = [f"{rule.name}_{end}" for rule in rules for end in ("passed", "failed")]
-    if hasattr(counts, "asDict"):
-        counts = counts.asDict()
-    if isinstance(counts, dict):
-        return [(name, counts[name]) for name in names]
-    return list(zip(names, counts))
+    """Like :func:`run_to_end` with quality rules; also returns the log rows of this run, one per batch and rule.
+
+    Each batch writes a folder of its own in ``path``, and its log rows to one in ``<checkpoint>-rules``, so a stream may have any number of
+    batches. A batch that is run again after a failure replaces both. The log rows of a run that failed are not returned by a later run,
+    but stay in that folder with those of all others. A table that :func:`start` wrote cannot be continued, since its own list of files hides others.
+    """
+    spark, log, seen = stream.sparkSession, f"{checkpoint}-rules", []
+    listed = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    files = listed.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(listed):
+        raise ValueError(f"{path} was written by start() and cannot be continued with counts")
+    files.mkdirs(listed.getParent())
+
+    def handle(df: DataFrame, number: int) -> None:
+        counts = Observation(f"{dataset} {number}")
+        observed(df, rules, counts).write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+        rows = log_rows(df.sparkSession, counts.get, rules, dataset, at).withColumn("batch", F.lit(number).cast("long"))
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{log}/batch-{number}")
+        seen[:] = seen or [number]
+
+    start_each(stream, handle, checkpoint).awaitTermination()
+    found = log_rows(spark, {}, [], dataset, at)
+    if seen:
+        kept = StructType([*LOG_SCHEMA.fields, StructField("batch", LongType())])
+        rows = spark.read.schema(kept).option("recursiveFileLookup", "true").parquet(log)
+        found = rows.filter(F.col("batch") >= seen[0]).drop("batch")
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(path), found
 
 
 def start_each(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import documents as docs
 from millrace.operators import search
-from millrace.operators.expectations import rule_counts
+from millrace.operators.expectations import Rule, rule_counts
 from millrace.operators.orders import ORDER_RULES, normalize_orders
 from millrace.session import new_path
 from millrace.sources import files
@@ -86,6 +86,28 @@ def test_rules_on_a_stream(spark, small):
     assert normalize_orders(data).count() == batch.count()
 
 
+def test_rules_on_more_batches_than_spark_remembers(spark, tmp_path):
+    landing, out, rules = tmp_path / "many", paths(spark), [Rule("small", "id < 55"), Rule("odd", "id % 2 = 1", drop=True)]
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "2")
+
+    def run():
+        stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(landing))
+        data, log = run_checked(stream, rules, "many", *out, datetime(2024, 1, 1))
+        return data.count(), log.count(), rows(log.groupBy("name").agg(F.sum("passed_records"), F.sum("failed_records")))
+
+    try:
+        landing.mkdir()
+        assert run() == (0, 0, [])
+        spark.range(0, 60, 1, 6).write.mode("append").parquet(str(landing))
+        assert run() == (30, 12, [("odd", 30, 30), ("small", 55, 5)])
+        assert run() == (30, 0, [])
+        spark.range(60, 70, 1, 1).write.mode("append").parquet(str(landing))
+        assert run() == (35, 2, [("odd", 5, 5), ("small", 0, 10)])
+    finally:
+        spark.conf.unset(key)
+
+
 def test_batches_to_a_merging_sink(spark, small):
     seen = []
     start_each(table_stream(spark, small, "nation"), lambda df, n: seen.append(df.count()), new_path(spark, "c")).awaitTermination()
