@@ -72,4 +72,46 @@ ORACLES = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
             sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM doc LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""",
+    "op12_importance_resampling": r"""
+        WITH crc_table AS (  -- eight halvings of each byte
+            SELECT list(c ORDER BY b) AS t FROM (SELECT b, list_reduce(range(8), lambda c, k:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS c FROM range(256) AS r(b))
+        ), source AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+            FROM documents
+        ), source_words AS (SELECT r, unnest(w) AS word FROM source
+        ), target_words AS (
+            SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+            FROM benchmark
+        ), source_counts AS (SELECT word, count(*) AS n FROM source_words GROUP BY word
+        ), target_counts AS (SELECT word, count(*) AS n FROM target_words GROUP BY word
+        ), coded AS (
+            SELECT word, hex(encode(word)) AS code FROM (SELECT word FROM source_counts UNION SELECT word FROM target_counts)
+        ), hashed AS (
+            SELECT word, xor(list_reduce([CAST('0x' || substr(code, 2 * i + 1, 2) AS BIGINT) FOR i IN range(length(code) // 2)],
+                lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) % 10000 AS bucket
+            FROM coded, crc_table
+        ), totals AS (
+            SELECT bucket, sum(coalesce(s.n, 0)) AS s, sum(coalesce(t.n, 0)) AS t
+            FROM hashed LEFT JOIN source_counts AS s USING (word) LEFT JOIN target_counts AS t USING (word) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * ((SELECT sum(s) FROM totals) + 10000)
+                / ((CAST(s AS DOUBLE) + 1) * ((SELECT sum(t) FROM totals) + 10000)))) AS BIGINT) AS gain
+            FROM totals
+        ), weights AS (
+            SELECT r, sum(gain) AS weight FROM source_words JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY r
+        ), scored AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+                CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                    / 4294967296::DOUBLE))) AS BIGINT) AS score
+            FROM source LEFT JOIN weights USING (r)
+        ), ranked AS (
+            SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place,
+                (SELECT 10 * count(*) // 100 FROM scored WHERE n_features >= 20) AS share
+            FROM scored
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= share THEN place END AS rank FROM ranked""",
 }
