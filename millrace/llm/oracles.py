@@ -114,4 +114,24 @@ ORACLES = {
             FROM scored
         )
         SELECT doc_id, n_features, weight, score, CASE WHEN place <= share THEN place END AS rank FROM ranked""",
+    "op13_near_vectors": r"""
+        WITH RECURSIVE given AS (
+            SELECT row_number() OVER () AS r, vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+        ), fit AS (
+            SELECT r, vec_id, label, [x / sqrt(list_sum([y * y FOR y IN e])) FOR x IN e] AS u
+            FROM given
+            WHERE label IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+                AND len([x FOR x IN e IF x <> 0]) > 0
+        ), links AS (
+            SELECT a.r AS a, b.r AS b, b.vec_id
+            FROM fit AS a JOIN fit AS b ON a.label = b.label AND len(a.u) = len(b.u) AND a.r <> b.r
+            WHERE list_dot_product(a.u, b.u) >= 0.93
+        ), reached AS (
+            SELECT r AS a, r AS b FROM given
+            UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+        ), component AS (
+            SELECT a AS r, min(vec_id) AS component_id FROM reached JOIN given ON reached.b = given.r GROUP BY a
+        ), counts AS (SELECT a AS r, count(*) AS n_links FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+        FROM given JOIN component USING (r) LEFT JOIN counts USING (r)""",
 }

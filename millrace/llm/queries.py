@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, language, licenses, packing, passages, pii, resampling, rules, suffixes
+from millrace.llm import chat, decontaminate, jaccard, language, licenses, neighbours, packing, passages, pii, resampling, rules, suffixes
 from millrace.session import written
 from millrace.sources.tables import table
 
@@ -151,3 +151,8 @@ def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     """A tenth of the documents, drawn to be like the benchmark's texts."""
     found = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, folder, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
