@@ -1,7 +1,8 @@
 """Quality by attention over passages: a small network scores a document from all of its passages.
 
 Every passage is encoded by the same learned layer. A gated attention gives each a weight, learned from labels of whole
-documents, and the document's score comes from the weighted mean of its passages.
+documents, and the document's score comes from the weighted mean of its passages. Several such networks, which start from
+different weights, are averaged.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ SLAB = 256  # passages that are encoded at once
 SAMPLE, SAMPLE_PASSAGES = 1_500, 12
 HIDDEN, GATE = 16, 8
 EPOCHS, BATCH, RATE = 30, 64, 0.01
+SEEDS = (7, 8, 9)
+# Inputs are measured in standard deviations, up to so many.
+FAR = 4
 CUT = 0.3
 
 # The kinds of bytes: the letters that are frequent in European languages by themselves, other bytes by what they are.
@@ -68,25 +72,46 @@ def encoded(text: str | None, only: int | None = None) -> Iterator[np.ndarray]:
 
 @dataclass(frozen=True)
 class Attention:
-    """Weights of the encoder, the gated attention and the score."""
+    """The weights of each network's encoder, gated attention and score, and the mean and spread of the inputs."""
 
-    weights: dict[str, np.ndarray]
+    members: list[dict[str, np.ndarray]]
+    mean: np.ndarray
+    spread: np.ndarray
+
+    def inputs(self, passages: np.ndarray) -> np.ndarray:
+        return np.clip((passages - self.mean) / self.spread, -FAR, FAR)
 
     def score(self, text: str | None) -> float:
         """Between 0 and 1. Only the encoded passages and their attention are kept while a text is read."""
-        w = self.weights
-        h = np.vstack([np.tanh(x @ w["E"] + w["e"]) for x in encoded(text)])
-        s = (np.tanh(h @ w["V"]) * _sigmoid(h @ w["U"])) @ w["w"]
-        a = np.exp(s - s.max())
-        return float(_sigmoid((a / a.sum()) @ h @ w["c"] + w["c0"][0]))
+        parts: list[list[np.ndarray]] = [[] for _ in self.members]
+        for passages in encoded(text):
+            x = self.inputs(passages)
+            for w, part in zip(self.members, parts, strict=True):
+                part.append(np.tanh(x @ w["E"] + w["e"]))
+        scores = []
+        for w, part in zip(self.members, parts, strict=True):
+            h = np.vstack(part)
+            s = (np.tanh(h @ w["V"]) * _sigmoid(h @ w["U"])) @ w["w"]
+            a = np.exp(s - s.max())
+            scores.append(float(_sigmoid((a / a.sum()) @ h @ w["c"] + w["c0"][0])))
+        return sum(scores) / len(scores)
 
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Attention:
-    """Gradient descent on the log loss, both labels weighing the same. With one label alone the score is constant."""
+def fit(bags: list[np.ndarray], labels: np.ndarray, seeds: tuple[int, ...] = SEEDS) -> Attention:
+    """A network per seed, over inputs brought to one scale. With one label alone, or none, the score is constant."""
+    every = np.vstack(bags) if bags else np.zeros((1, WIDTH), np.float32)
+    model = Attention([], every.mean(0), every.std(0) + 1e-3)
+    scaled = [model.inputs(b) for b in bags]
+    model.members.extend(_descend(scaled, labels, seed) for seed in seeds)
+    return model
+
+
+def _descend(bags: list[np.ndarray], labels: np.ndarray, seed: int) -> dict[str, np.ndarray]:
+    """Gradient descent on the log loss, both labels weighing the same."""
     rng = np.random.default_rng(seed)
     w = {
         "E": rng.normal(0, 1 / np.sqrt(WIDTH) * 4, (WIDTH, HIDDEN)), "e": np.zeros(HIDDEN),
@@ -98,7 +123,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Attention:
         for name in ("c", "c0"):
             w[name] = w[name] * 0
         w["c0"] = np.array([3.0 if good else -3.0 if bad else 0.0])
-        return Attention(w)
+        return w
     importance = np.where(labels == 1, len(labels) / (2 * good), len(labels) / (2 * bad))
     mean, square = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     step = 0
@@ -111,7 +136,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Attention:
                 mean[name] = 0.9 * mean[name] + 0.1 * g
                 square[name] = 0.999 * square[name] + 0.001 * g * g
                 w[name] = w[name] - RATE * (mean[name] / (1 - 0.9**step)) / (np.sqrt(square[name] / (1 - 0.999**step)) + 1e-8)
-    return Attention({k: v.astype(np.float32) for k, v in w.items()})
+    return {k: v.astype(np.float32) for k, v in w.items()}
 
 
 def _gradient(w: dict, bags: list[np.ndarray], y: np.ndarray, importance: np.ndarray) -> dict[str, np.ndarray]:
@@ -144,14 +169,16 @@ def learn_attention(
 
     The bound: at most ``sample`` documents of each label, the least by a hash of the text in ``sample`` classes of that hash,
     so that copies count once, and ``SAMPLE_PASSAGES`` passages of each, evenly spread. Rows without label are left out, and a
-    document that is labelled twice counts for both.
+    document that is labelled twice counts for both. A very long text gives no more passages than others; of repeated rows one counts.
     """
     marks = labels.filter(F.col(label).isNotNull()).select(F.col(doc_id).alias("id"), (F.col(label) > 0).cast("int").alias("y"))
     keys = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h")).join(marks, "id")
     chosen = keys.groupBy("y", F.pmod("h", F.lit(sample)).alias("class")).agg(F.min(F.struct("h", "id")).alias("x"))
-    chosen = chosen.select("y", "x.id")
-    # At most two times `sample` rows, so they can be sent everywhere.
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id").select("y", "text")
+    chosen = chosen.select("y", "x.h", "x.id")
+    # At most two times `sample` rows, so they can be sent everywhere. An id may be that of many rows: the text's hash tells
+    # the chosen one, and of its copies one stays.
+    rows = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    rows = rows.join(F.broadcast(chosen), ["id", "h"]).groupBy("y", "h").agg(F.first("text").alias("text")).select("y", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

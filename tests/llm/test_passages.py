@@ -58,3 +58,41 @@ def test_odd(odd, none):
     one = passages.learn_attention(odd, odd.selectExpr("doc_id", "1 as quality").filter("doc_id = 6"))
     assert all(r["score"] > 0.9 for r in passages.score_documents(odd, one).collect())
     assert passages.score_documents(none, one).count() == 0
+
+
+def test_score_against_a_plain_loop(texts):
+    rng = np.random.default_rng(5)
+    bags = [np.vstack(list(passages.encoded(t, 3))) for t in list(texts.values())[:20]]
+    model = passages.fit(bags, rng.integers(0, 2, 20))
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    for text in [None, "", *list(texts.values())[20:30]]:
+        want = []
+        for w in model.members:
+            data = (text or "").encode()
+            rows, weights = [], []
+            for at in range(0, max(len(data), 1), passages.PASSAGE):
+                # A passage by itself is encoded as it is inside its text.
+                (x,) = next(passages.encoded(data[at : at + passages.PASSAGE].decode("utf-8", "ignore")))[:1]
+                x = np.clip((x - model.mean) / model.spread, -passages.FAR, passages.FAR)
+                h = np.tanh(x @ w["E"] + w["e"])
+                rows.append(h)
+                weights.append(np.exp(sum(np.tanh(h @ w["V"])[k] * sigmoid(h @ w["U"])[k] * w["w"][k] for k in range(passages.GATE))))
+            mixed = sum(a * h for a, h in zip(weights, rows, strict=True)) / sum(weights)
+            want.append(sigmoid(mixed @ w["c"] + w["c0"][0]))
+        assert abs(model.score(text) - np.mean(want)) < 1e-4
+
+
+def test_repeated_ids_do_not_swell_the_sample(spark):
+    rows = [(1, f"text {k}") for k in range(100)] + [(2, "one text")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    seen = []
+    keep, passages.fit = passages.fit, lambda bags, y: seen.append(len(bags)) or keep(bags, y)
+    try:
+        passages.learn_attention(docs, labels, sample=50)
+    finally:
+        passages.fit = keep
+    assert seen[0] <= 51
