@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, jaccard, language, licenses, neighbours, packing, passages, pii, resampling, rules, suffixes
+from millrace.llm import alignment, chat, decontaminate, jaccard, language, licenses, neighbours, packing, passages, pii, resampling, rules, suffixes
 from millrace.session import written
 from millrace.sources.tables import table
 
@@ -156,3 +156,13 @@ def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.near_vectors(table(spark, folder, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, folder, "documents"), *files).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
