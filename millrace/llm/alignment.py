@@ -35,6 +35,8 @@ PAIRS_AT_ONCE = 2_000_000
 
 RUN = re.compile(r"[ \n\t]*[^ \n\t]+|[ \n\t]+")
 OTHER_BLANK = re.compile(r"[^\S \n\t]")
+# Fixed value: the published pattern by which byte-level files of this kind part a text.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BORDER = re.compile(r"(?<=[^ \n\t])(?=[ \n\t])")
 
 
@@ -62,40 +64,76 @@ class Tokenizers:
         self.b_bytes = [self._b_entry(k) for k in range(len(self.b))]
         self.a_lengths, self.b_lengths = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
         self.kind = "H" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "I"
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.known_a: dict[str, bytes] = {}
+        self.known_b: dict[str, bytes | None] = {}
         model = sentencepiece_model_pb2.ModelProto()
         with open(b_file, "rb") as file:
             model.ParseFromString(file.read())
         with open(a_file, encoding="utf-8") as file:
-            self.splits = _splits(json.load(file), model)
+            given = json.load(file)
+        self.splits = _splits(given, model)
+        self.joins = self._by_rank(given["model"]) if self.splits else None
         self.blank = self.b.piece_to_id("▁")
 
+    def _by_rank(self, model: dict):
+        """A's merges for an encoder that joins any two neighbours whose bytes are an entry, the entry of least id first; None if that may differ.
+
+        It can't if each merge makes the next id out of lesser ones and every entry, taken alone, is merged to itself: when an entry's turn comes, its
+        bytes are then in just the two parts that its merge joins, whatever stands around them.
+        """
+        import tiktoken
+
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        vocab, first = model["vocab"], len(model["vocab"]) - len(pairs)
+        ordered = all(vocab[x + y] == first + k > max(vocab[x], vocab[y]) for k, (x, y) in enumerate(pairs))
+        if not ordered or any([t.id for t in self.a.model.tokenize(entry)] != [number] for entry, number in vocab.items()):
+            return None
+        ranks = {self.a_bytes[number]: number for number in vocab.values()}
+        return tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
     def _b_entry(self, number: int) -> bytes:
         piece = self.b.id_to_piece(number)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace("▁", " ").encode()
 
-    def _kept(self, text: bytes, a: list[int], b: list[int]) -> tuple[bytes, bytes] | None:
-        """Both lists of ids as bytes if both lists of tokens spell ``text``."""
-        if b"".join(map(self.a_bytes.__getitem__, a)) != text or b"".join(map(self.b_bytes.__getitem__, b)) != text:
-            return None
-        return array(self.kind, a).tobytes(), array(self.kind, b).tobytes()
+    def _spelt(self, text: bytes, a: list[int], b: list[int]) -> bool:
+        """Whether both lists of tokens spell ``text``."""
+        return b"".join(map(self.a_bytes.__getitem__, a)) == text == b"".join(map(self.b_bytes.__getitem__, b))
 
-    def _learn(self, runs: set[str]) -> dict[str, tuple[bytes, bytes] | None]:
-        listed = list(runs)
-        found = {}
-        theirs = self.b.encode([r[1:] if r[0] == " " else r for r in listed], num_threads=1)
-        for run, a, b in zip(listed, self.a.encode_batch(listed, add_special_tokens=False), theirs, strict=True):
+    def _learn(self, runs: list[str]) -> None:
+        """Encode new runs. What B doesn't spell is kept as None."""
+        self._learn_a(runs)
+        theirs = self.b.encode([r[1:] if r[0] == " " else r for r in runs], num_threads=1)
+        spell, kind = self.b_bytes.__getitem__, self.kind
+        for run, b in zip(runs, theirs, strict=True):
             if run == " ":
                 b = [self.blank]
             elif run[0] != " ":
                 # B puts a blank before what it is given.
                 b = b[1:] if b[:1] == [self.blank] else []
-            found[run] = self._kept(run.encode(), a.ids, b)
-        return found
+            self.known_b[run] = array(kind, b).tobytes() if b"".join(map(spell, b)) == run.encode() else None
+
+    def _learn_a(self, runs: list[str]) -> None:
+        if not self.joins:
+            for run, found in zip(runs, self.a.encode_batch(runs, add_special_tokens=False), strict=True):
+                self.known_a[run] = array(self.kind, found.ids).tobytes()
+            return
+        # One call for all runs that end in a letter: they part from the next one's blanks.
+        ends_open = [r for r in runs if r.isspace()]
+        for run in ends_open:
+            self.known_a[run] = array(self.kind, self.joins.encode_ordinary(run)).tobytes()
+        rest = [r for r in runs if not r.isspace()] if ends_open else runs
+        ids = np.array(self.joins.encode_ordinary("".join(rest)), np.int64)
+        sizes = np.cumsum([len(r.encode()) for r in rest])
+        cuts = np.searchsorted(np.cumsum(self.a_lengths[ids]), sizes, "right").tolist()
+        flat, width, low = array(self.kind, ids.tolist()).tobytes(), array(self.kind).itemsize, 0
+        for run, high in zip(rest, cuts, strict=True):
+            self.known_a[run] = flat[low * width : high * width]
+            low = high
 
     def _whole(self, text: str) -> tuple[bytes, bytes] | None:
         spaced = " " + text
-        return self._kept(spaced.encode(), self.a.encode(spaced, add_special_tokens=False).ids, self.b.encode(text, num_threads=1))
+        a, b = self.a.encode(spaced, add_special_tokens=False).ids, self.b.encode(text, num_threads=1)
+        return (array(self.kind, a).tobytes(), array(self.kind, b).tobytes()) if self._spelt(spaced.encode(), a, b) else None
 
     def encode(self, text: bytes | None) -> tuple[bytes, bytes] | None:
         """Ids of a space and the text by A, and of the text by B, as bytes. None without text, or if one doesn't spell it."""
@@ -114,21 +152,21 @@ class Tokenizers:
             upto = end.start() if end else len(spaced)
             runs = RUN.findall(spaced, at, upto)
             at = upto
-            new = {r for r in runs if r not in self.known}
+            new = set(runs).difference(self.known_b)
             if new:
-                if len(self.known) > CACHED:
-                    self.known.clear()
+                if len(self.known_b) > CACHED:
+                    self.known_a.clear()
+                    self.known_b.clear()
                     new = set(runs)
-                found = self._learn(new)
-                self.known.update(found)
-            values = list(map(self.known.__getitem__, runs))
-            for run in new:
-                if len(run) > CACHED_CHARS:
-                    del self.known[run]
-            if None in values:
+                self._learn(list(new))
+            try:
+                parts_a.append(b"".join(map(self.known_a.__getitem__, runs)))
+                parts_b.append(b"".join(map(self.known_b.__getitem__, runs)))
+            except TypeError:
                 return self._whole(said)
-            parts_a.append(b"".join([v[0] for v in values]))
-            parts_b.append(b"".join([v[1] for v in values]))
+            finally:
+                for run in [r for r in new if len(r) > CACHED_CHARS]:
+                    del self.known_a[run], self.known_b[run]
         return b"".join(parts_a), b"".join(parts_b)
 
 

@@ -147,7 +147,7 @@ def test_registered_query(spark, plain, small, texts):
 @given(st.text(st.one_of(st.sampled_from(" \n\t\r.'sxe1 ▁́<>"), st.characters(codec="utf-8")), max_size=40))
 def test_runs_give_the_ids_of_whole_texts(plain, text):
     known = alignment.tokenizers(A, B)
-    assert known.splits
+    assert known.splits and known.joins
     a, b = tokens(plain, text)
     got = known.encode(text.encode())
     assert got == ((np.array(a, "<u2").tobytes(), np.array(b, "<u2").tobytes()) if a else None)
@@ -161,6 +161,17 @@ def test_long_texts_are_encoded_in_stretches(plain, monkeypatch):
     assert alignment.tokenizers(A, B).encode(text.encode()) == want
 
 
+def test_other_ways_of_encoding_agree(monkeypatch, texts):
+    known = alignment.Tokenizers(A, B)
+    some = [t.encode() for t in list(texts.values())[:40] if t]
+    want = [known.encode(t) for t in some]
+    known.known_a.clear(), known.known_b.clear()
+    known.joins = None
+    assert [known.encode(t) for t in some] == want
+    known.splits = False
+    assert [known.encode(t) for t in some] == want
+
+
 def test_invalid_bytes_have_no_tokens():
     assert alignment.tokenizers(A, B).encode(b"ab\xff") is None
 
