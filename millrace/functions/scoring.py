@@ -169,3 +169,72 @@ def bucket_codes(planes: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Ite
             yield pa.RecordBatch.from_arrays([*batch.columns, lists.cast(pa.list_(pa.int32()))], names=names)
 
     return run
+
+
+def block_cutter(size: int, id_col: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Postings ``term, tf, id, n_terms`` in order of term to one row per up to ``size`` postings of a term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            term, tf, ids, lengths = batch.columns
+            coded = term.dictionary_encode().indices.to_numpy()
+            starts = np.flatnonzero(np.r_[True, coded[1:] != coded[:-1]])
+            run_of = np.cumsum(np.r_[True, coded[1:] != coded[:-1]]) - 1
+            inside = np.arange(len(coded)) - starts[run_of]
+            first = np.flatnonzero(inside % size == 0)
+            entries = pa.StructArray.from_arrays([ids, tf, lengths], names=[id_col, "tf", "n_terms"])
+            offsets = pa.array(np.r_[first, len(coded)].astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    term.take(pa.array(first)),
+                    pa.array(np.maximum.reduceat(tf.to_numpy(), first), pa.int32()),
+                    pa.array(np.minimum.reduceat(lengths.to_numpy(), first), pa.int64()),
+                    pa.ListArray.from_arrays(offsets, entries),
+                ],
+                names=["term", "max_tf", "min_terms", "postings"],
+            )
+
+    return run
+
+
+def sketcher(planes: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``id, array<float>`` to the id and the sides of the planes on which the vector lies, a bit each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = matrix(batch.column(1)) @ planes.T >= 0 if batch.num_rows else np.zeros((0, len(planes)), bool)
+            bits = np.packbits(sides, axis=1, bitorder="little")
+            sketches = pa.array([row.tobytes() for row in bits], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sketches], names=[batch.schema.names[0], "sketch"])
+
+    return run
+
+
+def sketch_matrix(sketches: pa.Array) -> np.ndarray:
+    values = sketches.to_pylist()
+    return np.frombuffer(b"".join(values), "<u8").reshape(len(values), -1)
+
+
+def sketch_scorer(
+    asked: np.ndarray, query_ids: pa.Array, k: int, schema: pa.Schema
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Score rows of ``id, sketch`` by the number of signs that differ, with a minus. ``asked`` has a sketch per row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = TopLists(len(asked), k)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes = sketch_matrix(batch.column(1))
+            step = max(1, CELLS // asked.size)
+            for first in range(0, len(codes), step):
+                part = codes[first : first + step]
+                differ = np.zeros((len(part), len(asked)))
+                for word in range(asked.shape[1]):
+                    differ += np.bitwise_count(part[:, word, None] ^ asked[None, :, word])
+                best.offer(batch.column(0), np.arange(first, first + len(part)), -differ, False)
+        yield best.batch(query_ids, schema)
+
+    return run

@@ -1,7 +1,6 @@
 """Sparse text vectors by signed feature hashing, one Arrow batch at a time.
 
 A term is hashed once per batch and not once per occurrence, which is why this is not a built-in expression.
-Inverse document frequencies are kept by hash slot: a table of fixed size, whatever the vocabulary.
 """
 
 from __future__ import annotations
@@ -14,66 +13,75 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 DIMENSIONS = 1024
-SLOTS = 65536
+# Values that cancel out leave no more than this.
+NOTHING = 1e-12
 
 Batches = Iterator[pa.RecordBatch]
 VECTOR = pa.list_(pa.struct([("dim", pa.int32()), ("value", pa.float64())]))
-SLOT_COUNTS = pa.schema([("slot", pa.int32()), ("frequency", pa.int64())])
+COUNTS = pa.list_(pa.struct([("term", pa.string()), ("tf", pa.int32())]))
 
 
-def idf_weights(documents: int, frequencies: np.ndarray) -> np.ndarray:
-    return np.log(1 + (documents - frequencies + 0.5) / (frequencies + 0.5))
+def _owners(lists: pa.Array) -> np.ndarray:
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), lengths)
 
 
-def _hashed(terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every entry of a column of ``list<struct<term, tf>>``: its row, its tf and the four words of its digest."""
-    flat = terms.flatten()
-    coded = flat.field(0).dictionary_encode()
-    digests = b"".join(md5(term.encode()).digest() for term in coded.dictionary.to_pylist())
-    words = np.frombuffer(digests, dtype=">u4").reshape(-1, 4).astype(np.int64)
-    lengths = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
-    tf = flat.field(1).to_numpy(zero_copy_only=False)
-    return np.repeat(np.arange(len(terms)), lengths), tf, words[coded.indices.to_numpy(zero_copy_only=False)]
+def _lists(owner: np.ndarray, rows: int, values: list[pa.Array], kind: pa.ListType) -> pa.ListArray:
+    """Entries of rows in order as one list per row."""
+    ends = np.cumsum(np.bincount(owner, minlength=rows))
+    entries = pa.StructArray.from_arrays(values, names=[f.name for f in kind.value_type])
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), entries).cast(kind)
 
 
-def slot_counter(slots: int) -> Callable[[Batches], Batches]:
-    """How many rows of a partition have a term in each slot; the only column is the list of terms."""
+def _summed(owner: np.ndarray, dim: np.ndarray, value: np.ndarray, dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (row times ``dims`` plus dimension) in order, and the sum at each."""
+    places, which = np.unique(owner * dims + dim, return_inverse=True)
+    return places, np.bincount(which, weights=value, minlength=len(places))
+
+
+def weigher(known, dims: int) -> Callable[[Batches], Batches]:
+    """The last column, a list of (term, tf), as sums by dimension of the terms with a known weight, and the list of the others.
+
+    ``known`` is a broadcast of the weights by term.
+    """
 
     def run(batches: Batches) -> Batches:
-        counts = np.zeros(slots, dtype=np.int64)
         for batch in batches:
-            owner, _, words = _hashed(batch.column(0))
-            places = np.sort(owner * slots + words[:, 2] % slots)
-            first = np.ones(len(places), dtype=bool)
-            first[1:] = places[1:] != places[:-1]
-            counts += np.bincount(places[first] % slots, minlength=slots)
-        found = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found.astype(np.int32)), pa.array(counts[found])], schema=SLOT_COUNTS
-        )
+            terms = batch.column(batch.num_columns - 1)
+            flat, owner = terms.flatten(), _owners(terms)
+            coded = flat.field(0).dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            digests = b"".join(md5(term.encode()).digest() for term in names)
+            words = np.frombuffer(digests, dtype=">u4").reshape(-1, 4).astype(np.int64)
+            # A weight times the term's sign.
+            weight = np.array([known.value.get(term, np.nan) for term in names], np.float64)
+            weight *= np.where((words[:, 1] >> 28) % 2 == 0, 1.0, -1.0)
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            near = ~np.isnan(weight[at])
+            tf = flat.field(1).to_numpy(zero_copy_only=False)
+            places, total = _summed(owner[near], words[at[near], 0] % dims, weight[at[near]] * tf[near], dims)
+            sums = _lists(places // dims, batch.num_rows, [pa.array((places % dims).astype(np.int32)), pa.array(total)], VECTOR)
+            far = np.flatnonzero(~near)
+            others = _lists(owner[far], batch.num_rows, [flat.field(0).take(pa.array(far)), flat.field(1).take(pa.array(far))], COUNTS)
+            columns = [*batch.columns[:-1], sums, others]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "_near", "_far"])
 
     return run
 
 
-def vector_adder(weights: np.ndarray, dims: int, at: int) -> Callable[[Batches], Batches]:
-    """Add the unit vector, a list of (dim, value) by dimension, of the terms in column ``at``."""
+def finisher(dims: int) -> Callable[[Batches], Batches]:
+    """The last column, a list of (dim, value) with repeats, as the unit vector of its sums in order of dimension."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            owner, tf, words = _hashed(batch.column(at))
-            sign = np.where((words[:, 1] >> 28) % 2 == 0, 1.0, -1.0)
-            value = sign * tf * weights[words[:, 2] % len(weights)]
-            places, which = np.unique(owner * dims + words[:, 0] % dims, return_inverse=True)
-            total = np.bincount(which, weights=value, minlength=len(places))
-            places, total = places[total != 0], total[total != 0]
+            entries = batch.column(batch.num_columns - 1)
+            flat, owner = entries.flatten(), _owners(entries)
+            dim, value = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            places, total = _summed(owner, dim.astype(np.int64), value, dims)
+            places, total = places[np.abs(total) > NOTHING], total[np.abs(total) > NOTHING]
             rows = places // dims
             length = np.sqrt(np.bincount(rows, weights=total * total, minlength=batch.num_rows))
-            ends = np.cumsum(np.bincount(rows, minlength=batch.num_rows))
-            entries = pa.StructArray.from_arrays(
-                [pa.array((places % dims).astype(np.int32)), pa.array(total / length[rows])], names=["dim", "value"]
-            )
-            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-            vector = pa.ListArray.from_arrays(offsets, entries).cast(VECTOR)
-            yield pa.RecordBatch.from_arrays([*batch.columns, vector], names=[*batch.schema.names, "vector"])
+            unit = _lists(rows, batch.num_rows, [pa.array((places % dims).astype(np.int32)), pa.array(total / length[rows])], VECTOR)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], unit], names=[*batch.schema.names[:-1], "vector"])
 
     return run

@@ -3,32 +3,31 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.functions import scoring, vectors
 from millrace.functions.text import term_counts, tokens
-from millrace.functions.vectors import DIMENSIONS, SLOTS
+from millrace.functions.vectors import DIMENSIONS
 from millrace.operators.documents import CITATION_COLUMNS
-from millrace.session import written
+from millrace.operators.postings import PUSHED, KeywordIndex, idf, index_terms, rank_hits, saturation
+from millrace.session import new_path, written
 from millrace.sizing import lookup_join
 
 # The scoring code travels with each task, so that executors need no copy of this package.
 cloudpickle.register_pickle_by_value(scoring)
 cloudpickle.register_pickle_by_value(vectors)
 
-# The usual BM25 constants, and the constant of reciprocal rank fusion (Cormack, Clarke and Buettcher, 2009).
-K1 = 1.2
-B = 0.75
+# The constant of reciprocal rank fusion (Cormack, Clarke and Buettcher, 2009).
 FUSION = 60
 POOL = 50
 
@@ -37,64 +36,121 @@ BLOCK_QUERIES = 512
 BLOCK_ENTRIES = 400_000
 BLOCK_CELLS = 4_000_000
 PUSHED_BUCKETS = 10_000
+# A frequent term has at least one of so many postings, so there are at most so many. Longer ones count as rare.
+FREQUENT = 65_536
+FREQUENT_CHARS = 64
+# Signs of a sketch for each component of a vector, and how many vectors per hit are compared exactly.
+SIGNS = 8
+COMPARED = 20
 
 
-def idf(documents: Column, frequency: Column) -> Column:
-    return F.log(1 + (documents - frequency + 0.5) / (frequency + 0.5))
+# --- index -------------------------------------------------------------------------------------------------------
 
 
-def rank_hits(hits: DataFrame, k: int, id_col: str) -> DataFrame:
-    """The best ``k`` hits per question with their rank; equal scores are ordered by id.
+@dataclass(frozen=True)
+class TermWeights:
+    """How many chunks there are, and ``term, frequency``: in how many of them each term is."""
 
-    Spark cuts each partition to ``k`` rows per question before the shuffle.
-    """
-    if k < 1:
-        raise ValueError("k must be at least 1")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), id_col)
-    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    documents: int
+    frequencies: DataFrame
 
+    @cached_property
+    def frequent(self) -> dict[str, float]:
+        """The weights of frequent terms: at most ``FREQUENT`` terms of ``FREQUENT_CHARS`` come to the driver, whatever the vocabulary."""
+        total = self.frequencies.agg(F.coalesce(F.sum("frequency"), F.lit(0))).first()[0]
+        often = self.frequencies.filter((F.col("frequency") * FREQUENT >= total) & (F.length("term") <= FREQUENT_CHARS))
+        found = often.select("term", idf(F.lit(self.documents), F.col("frequency"))).collect()
+        return dict(map(tuple, found))
 
-# --- index -------------------------------------------------------------------------------------------------------
+
+def term_weights(index: DataFrame) -> TermWeights:
+    """The weights of the terms of :func:`index_terms`, counted by partial sums."""
+    counted = index.select(F.explode("terms.term").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("frequency"))
+    return TermWeights(index.count(), written(counted, "frequencies"))
 
 
-def index_terms(chunks: DataFrame, id_col: str = "chunk_id", text: str = "chunk_to_embed") -> DataFrame:
-    """One row per chunk: id, document, ``terms`` (term, tf) and ``n_terms``. Needs no shuffle and runs on streams."""
-    return chunks.select(id_col, "path", term_counts(tokens(F.col(text))).alias("terms")).withColumn(
-        "n_terms", F.aggregate("terms", F.lit(0).cast("long"), lambda total, t: total + t["tf"])
+def add_vectors(rows: DataFrame, weights: TermWeights, dims: int = DIMENSIONS) -> DataFrame:
+    """``rows`` with the unit ``vector`` (dim, value) of their ``terms`` in place of these.
+
+    A term adds its count times its inverse document frequency, with a sign, to one of ``dims`` places. Weights of frequent terms are
+    sent to the rows; those of all others are joined by term, and no such term has much of the data. A term without
+    frequency weighs as one that is in no chunk.
+    """
+    entry = T.StructType([T.StructField("dim", T.IntegerType()), T.StructField("value", T.DoubleType())])
+    count = T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())])
+    others = [f for f in rows.schema.fields if f.name != "terms"]
+    numbered = rows.select(F.monotonically_increasing_id().alias("_row"), *[f.name for f in others], "terms")
+    schema = T.StructType(
+        [T.StructField("_row", T.LongType()), *others, T.StructField("_near", T.ArrayType(entry)), T.StructField("_far", T.ArrayType(count))]
+    )
+    known = rows.sparkSession.sparkContext.broadcast(weights.frequent)
+    parts = written(numbered.mapInArrow(vectors.weigher(known, dims), schema), "weighed")
+    far = parts.select("_row", F.inline("_far"))
+    # The same words of the digest as in the batches.
+    word = lambda start, digits: F.conv(F.substring(F.md5("term"), start, digits), 16, 10).cast("long")
+    sign = F.when(word(9, 1) % 2 == 0, 1.0).otherwise(-1.0)
+    weight = idf(F.lit(weights.documents), F.coalesce("frequency", F.lit(0)))
+    joined = far.join(weights.frequencies, "term", "left").select(
+        "_row", F.struct((word(1, 8) % dims).cast("int").alias("dim"), (sign * F.col("tf") * weight).alias("value")).alias("e")
+    )
+    rest = joined.groupBy("_row").agg(F.collect_list("e").alias("_rest"))
+    both = parts.drop("_far").join(rest, "_row", "left").select(
+        *[f.name for f in others], F.concat("_near", F.coalesce("_rest", F.array().cast(T.ArrayType(entry)))).alias("_entries")
     )
+    return both.mapInArrow(vectors.finisher(dims), T.StructType([*others, T.StructField("vector", T.ArrayType(entry))]))
 
 
-def slot_weights(index: DataFrame, slots: int = SLOTS) -> np.ndarray:
-    """The inverse document frequency of each hash slot. ``slots`` numbers come to the driver, whatever the data."""
-    counted = index.select("terms").mapInArrow(vectors.slot_counter(slots), "slot int, frequency long")
-    table = counted.groupBy("slot").agg(F.sum("frequency").alias("frequency")).toArrow()
-    frequencies = np.zeros(slots)
-    frequencies[table.column("slot").to_numpy()] = table.column("frequency").to_numpy()
-    return vectors.idf_weights(index.count(), frequencies)
+class Index:
+    """A search index that is kept in a folder: the keyword index, and the vectors of its chunks as of the last sync.
 
+    A sync brings the keyword index up to date by what changed. Vectors are written anew when something has, as each depends on the
+    frequencies in all chunks; questions then find both as they lie.
+    """
 
-def add_vectors(rows: DataFrame, weights: np.ndarray, dims: int = DIMENSIONS) -> DataFrame:
-    """``rows`` with the unit ``vector`` (dim, value) of their terms; ``weights`` comes from :func:`slot_weights`."""
-    vector = T.ArrayType(T.StructType([T.StructField("dim", T.IntegerType()), T.StructField("value", T.DoubleType())]))
-    schema = T.StructType([*rows.schema.fields, T.StructField("vector", vector)])
-    return rows.mapInArrow(vectors.vector_adder(weights, dims, rows.columns.index("terms")), schema)
+    def __init__(self, spark: SparkSession, path: str, dims: int = DIMENSIONS):
+        self.spark, self.path, self.dims = spark, path.rstrip("/"), dims
+        self.keyword = KeywordIndex(spark, f"{self.path}/keyword")
 
+    def sync(self, chunks: DataFrame) -> bool:
+        """Bring the index to the state of ``chunks``. False if nothing changed."""
+        changed = self.keyword.sync(chunks)
+        self._write_vectors()
+        return changed
 
-@dataclass(frozen=True)
-class Index:
-    """Written terms and vectors of all chunks, and the slot weights that questions need as well."""
+    def remove(self, paths: DataFrame) -> None:
+        """Take out the chunks of documents."""
+        self.keyword.remove(paths)
+        self._write_vectors()
+
+    @property
+    def terms(self) -> DataFrame:
+        return self.keyword.live()
+
+    @property
+    def weights(self) -> TermWeights:
+        return TermWeights(self.keyword.totals()[0], self.keyword.frequencies())
+
+    @property
+    def vectors(self) -> DataFrame:
+        return self.spark.read.parquet(self._state())
+
+    def _state(self) -> str:
+        return f"{self.path}/vectors/state={self.keyword.segments()[-1]}"
 
-    terms: DataFrame
-    vectors: DataFrame
-    weights: np.ndarray
-    dims: int = DIMENSIONS
+    def _write_vectors(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        done = jvm.org.apache.hadoop.fs.Path(f"{self._state()}/_SUCCESS")
+        if done.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+            return
+        added = add_vectors(self.terms.select("chunk_id", "terms"), self.weights, self.dims)
+        added.write.mode("overwrite").parquet(self._state())
 
 
 def build_index(chunks: DataFrame, dims: int = DIMENSIONS) -> Index:
-    terms = written(index_terms(chunks), "terms")
-    weights = slot_weights(terms)
-    added = add_vectors(terms.select("chunk_id", "terms"), weights, dims).select("chunk_id", "vector")
-    return Index(terms, written(added, "vectors"), weights, dims)
+    """An index in a folder of its own."""
+    index = Index(chunks.sparkSession, new_path(chunks.sparkSession, "index"), dims)
+    index.sync(chunks)
+    return index
 
 
 def question_terms(questions: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -172,7 +228,10 @@ def _fit(table: pa.Table) -> list[pa.Table]:
 
 
 def bm25_top_k(index: DataFrame, questions: DataFrame, k: int, id_col: str = "chunk_id") -> DataFrame:
-    """Keyword search: ``query_id, id, score, rank``. ``questions`` has ``query_id`` and ``terms``."""
+    """Keyword search over :func:`index_terms` without a kept index, by one scan: ``query_id, id, score, rank``.
+
+    ``questions`` has ``query_id`` and ``terms``. For chunks that are searched once; else see ``KeywordIndex``.
+    """
     stats = index.agg(F.count(F.lit(1)).alias("n"), F.avg("n_terms").alias("mean"))
     asked = questions.select(F.explode("terms").alias("t")).select("t.term").distinct()
     # Only terms that somebody asks for are counted, so no table of the whole vocabulary is built.
@@ -193,13 +252,13 @@ def bm25_top_k(index: DataFrame, questions: DataFrame, k: int, id_col: str = "ch
         "terms",
         lambda t: F.struct(
             t["term"].alias("key"),
-            (t["tf"] * (K1 + 1) / (t["tf"] + K1 * (1 - B + B * F.col("n_terms") / F.col("_mean")))).alias("weight"),
+            saturation(t["tf"], F.col("n_terms"), F.col("_mean")).alias("weight"),
         ),
     )
     return sparse_top_k(measured, id_col, entries, weighted, k)
 
 
-def question_vectors(questions: DataFrame, weights: np.ndarray, dims: int = DIMENSIONS) -> DataFrame:
+def question_vectors(questions: DataFrame, weights: TermWeights, dims: int = DIMENSIONS) -> DataFrame:
     """The hashed vectors of questions as ``query_id, key, weight``, a row per dimension."""
     return add_vectors(questions, weights, dims).select("query_id", F.inline("vector")).toDF("query_id", "key", "weight")
 
@@ -219,7 +278,7 @@ def fuse(ranked: list[DataFrame], k: int, id_col: str = "chunk_id") -> DataFrame
 def search_all(index: Index, questions: DataFrame, k: int, pool: int = POOL) -> dict[str, DataFrame]:
     """The ``KEYWORD``, ``ANN`` and ``HYBRID`` answers. The ranked pools are written once and shared."""
     asked = question_vectors(questions, index.weights, index.dims)
-    keyword = written(bm25_top_k(index.terms, questions, max(k, pool)), "keyword")
+    keyword = written(index.keyword.top_k(questions, max(k, pool)), "keyword")
     semantic = written(vector_top_k(index.vectors, asked, max(k, pool)), "semantic")
     top = lambda hits, n: hits.filter(F.col("rank") <= n)
     return {
@@ -310,15 +369,86 @@ def lsh_top_k(
     if len(numbers) <= PUSHED_BUCKETS:
         buckets = buckets.filter(F.col("bucket").isin(numbers))
     found = lookup_join(buckets, asked, ["bucket"], spread_by=F.col(id_col))
-    number = lambda v: F.transform(v, lambda x: x.cast("double"))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    u, v = number(F.col("embedding")), number(F.col("asked"))
-    cosine = F.try_divide(dot(u, v), F.sqrt(dot(u, u)) * F.sqrt(dot(v, v)))
+    cosine = _cosine(F.col("embedding"), F.col("asked"))
     scored = found.select("query_id", id_col, F.round(cosine, scoring.ROUND).alias("score"))
     pool = rank_hits(scored, k * tables, id_col).drop("rank")
     return rank_hits(pool.dropDuplicates(["query_id", id_col]), k, id_col)
 
 
+def sketch_planes(bits: int, dims: int) -> np.ndarray:
+    """Random hyperplanes, a row each, with entries +1 and -1 from the parity of a digest of their place."""
+    if min(bits, dims) < 1 or bits % 64:
+        raise ValueError("dims must be positive and bits a multiple of 64")
+    parity = lambda b, d: int(md5(f"sketch:{b}:{d}".encode()).hexdigest()[:2], 16) % 2
+    return np.array([[1.0 if parity(b, d) == 0 else -1.0 for d in range(dims)] for b in range(bits)])
+
+
+class SketchIndex:
+    """Approximate search that compares few vectors: sketches of signs are scanned, and the nearest by them compared exactly.
+
+    ``sketches`` has a quarter of the bytes of single-precision vectors. ``vectors`` are kept in order of their id, so that only those asked for are read.
+    A question's ``COMPARED`` times ``k`` nearest sketches, by differing signs and then id, are its candidates.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, id_col: str, dims: int):
+        self.spark, self.path, self.id_col, self.dims = spark, path.rstrip("/"), id_col, dims
+        self.planes = sketch_planes(SIGNS * dims, dims)
+
+    def _sketched(self, rows: DataFrame, id_col: str) -> DataFrame:
+        schema = T.StructType([rows.schema[id_col], T.StructField("sketch", T.BinaryType())])
+        return rows.select(id_col, "embedding").mapInArrow(scoring.sketcher(self.planes), schema)
+
+    def write(self, rows: DataFrame) -> SketchIndex:
+        vectors_ = rows.select(self.id_col, "embedding").repartitionByRange(self.id_col).sortWithinPartitions(self.id_col)
+        vectors_.write.parquet(f"{self.path}/vectors")
+        self._sketched(self._vectors(), self.id_col).write.parquet(f"{self.path}/sketches")
+        return self
+
+    def _vectors(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/vectors")
+
+    def candidates(self, queries: DataFrame, n: int) -> DataFrame:
+        """``query_id, id``: the ``n`` vectors whose sketches differ least from the question's."""
+        sketches = self.spark.read.parquet(f"{self.path}/sketches")
+        schema = _hit_schema(sketches, self.id_col, queries)
+        hits = []
+        for table in _bounded(self._sketched(queries, "query_id"), BLOCK_QUERIES):
+            if table.num_rows:
+                asked = scoring.sketch_matrix(table.column("sketch").combine_chunks())
+                run = scoring.sketch_scorer(asked, table.column("query_id").combine_chunks(), n, _arrow(schema))
+                hits.append(sketches.mapInArrow(run, schema))
+        hits = hits or [self.spark.createDataFrame([], schema)]
+        return rank_hits(reduce(DataFrame.unionAll, hits), n, self.id_col).select("query_id", self.id_col)
+
+    def top_k(self, queries: DataFrame, k: int) -> DataFrame:
+        """``query_id, id, score, rank`` of questions ``query_id, embedding`` by cosine among the candidates."""
+        chosen = written(self.candidates(queries, COMPARED * k), "candidates")
+        ids = [r[0] for r in chosen.select(self.id_col).distinct().limit(PUSHED + 1).collect()]
+        vectors_ = self._vectors()
+        if len(ids) <= PUSHED:
+            vectors_ = vectors_.filter(F.col(self.id_col).isin(ids))
+        pairs = lookup_join(vectors_, chosen, [self.id_col], spread_by=F.col(self.id_col))
+        asked = queries.select("query_id", F.col("embedding").alias("_asked"))
+        scored = lookup_join(pairs, asked, ["query_id"], spread_by=F.col(self.id_col)).select(
+            "query_id", self.id_col, F.round(_cosine(F.col("embedding"), F.col("_asked")), scoring.ROUND).alias("score")
+        )
+        return rank_hits(scored, k, self.id_col)
+
+
+def _cosine(a: Column, b: Column) -> Column:
+    number = lambda v: F.transform(v, lambda x: x.cast("double"))
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda total, p: total + p)
+    u, v = number(a), number(b)
+    return F.try_divide(dot(u, v), F.sqrt(dot(u, u)) * F.sqrt(dot(v, v)))
+
+
+def recall(found: DataFrame, exact: DataFrame, id_col: str) -> DataFrame:
+    """``wanted, found, recall``: how many of the ``exact`` hits are among those ``found``."""
+    pairs = exact.select("query_id", id_col).join(found.select("query_id", id_col, F.lit(1).alias("_hit")), ["query_id", id_col], "left")
+    counted = pairs.agg(F.count(F.lit(1)).alias("wanted"), F.count("_hit").alias("found"))
+    return counted.withColumn("recall", F.round(F.try_divide("found", "wanted"), 6))
+
+
 def centroids(rows: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
     """The mean vector of each group as a question."""
     return (

@@ -31,6 +31,7 @@ class Lake:
         self.generations = VersionedTable(spark, f"{self.root}/generations", "generation")
         self.features = VersionedTable(spark, f"{self.root}/customer_features", "customer_key")
         self.index = ChangeLogTable(spark, f"{self.root}/index", "chunk_id")
+        self.search = search.Index(spark, f"{self.root}/search")
 
     def generation(self) -> int:
         known = self.generations.versions()
@@ -92,18 +93,18 @@ def refine_documents(lake: Lake, landing: str, pattern: str = "*.html", elements
 
 
 def sync_index(lake: Lake) -> None:
-    """Bring the index to the state of the chunks; only what changed is written."""
+    """Bring the index to the state of the chunks; only what changed is written, apart from vectors."""
     lake.index.sync(lake.read("chunks"))
+    lake.search.sync(lake.read("chunks"))
 
 
 def ask(lake: Lake, questions: DataFrame, k: int = 5, method: str = "HYBRID") -> DataFrame:
     """Answers with citations for ``query_id, query``."""
-    chunks = lake.index.read()
     asked = search.question_terms(questions, "query_id", "query")
-    found = search.search_all(search.build_index(chunks), asked, k)
+    found = search.search_all(lake.search, asked, k)
     if method not in found:
         raise ValueError(f"method must be one of {sorted(found)}, not {method!r}")
-    return search.with_citations(found[method], chunks)
+    return search.with_citations(found[method], lake.index.read())
 
 
 def evaluate_retrieval(lake: Lake, questions: DataFrame, k: int = 5) -> DataFrame:
@@ -112,12 +113,11 @@ def evaluate_retrieval(lake: Lake, questions: DataFrame, k: int = 5) -> DataFram
     Every question counts, whether its source is in the index or not.
     """
     chunks = lake.index.read()
-    index = search.build_index(chunks)
-    found = search.search_all(index, search.question_terms(questions, "query_id", "query"), k)
+    found = search.search_all(lake.search, search.question_terms(questions, "query_id", "query"), k)
     # A question expects a file name, which every path ends with after a slash.
     named = chunks.select("path").distinct().withColumn("file", F.substring_index("path", "/", -1))
     truth = questions.join(named, questions["expected_source"] == named["file"]).select("query_id", "path")
-    return evaluate.hit_rates(found, truth, index.terms, questions.select("query_id"))
+    return evaluate.hit_rates(found, truth, chunks, questions.select("query_id"))
 
 
 def forget_documents(lake: Lake, paths: DataFrame, at: datetime) -> DataFrame:

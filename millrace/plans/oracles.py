@@ -214,11 +214,11 @@ tok AS (SELECT chunk_id, path, source_uri, chunk_position, chunk_content, {_toke
 post AS (SELECT chunk_id, term, count(*) AS tf FROM (SELECT chunk_id, unnest(ts) AS term FROM tok) GROUP BY ALL),
 lens AS (SELECT chunk_id, len(ts) AS n FROM tok),
 st AS (SELECT count(*) AS n, avg(n) AS mean FROM lens),
+df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
 q AS (SELECT item_id AS query_id, term, count(*) AS tf
       FROM (SELECT item_id, unnest({_tokens("text")}) AS term FROM benchmark) GROUP BY ALL)"""
 
 BM25 = """
-df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
 bm AS (
   SELECT query_id, chunk_id,
          round(sum(ln(1 + (st.n - df + 0.5) / (df + 0.5)) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * l.n / mean))), 6)
@@ -238,16 +238,14 @@ def _vector(name: str, key: str, source: str) -> str:
 {name}_raw AS (
   SELECT {key}, {_hex("term", 1, 8)} % 1024 AS dim,
          sum((CASE WHEN {_hex("term", 9, 1)} % 2 = 0 THEN 1.0 ELSE -1.0 END)::DOUBLE * tf
-             * ln(1 + (st.n - coalesce(freq, 0) + 0.5) / (coalesce(freq, 0) + 0.5))) AS value
-  FROM {source} LEFT JOIN slots ON slot = {_hex("term", 17, 8)} % 65536, st GROUP BY ALL),
+             * ln(1 + (st.n - coalesce(df, 0) + 0.5) / (coalesce(df, 0) + 0.5))) AS value
+  FROM {source} LEFT JOIN df USING (term), st GROUP BY ALL),
 {name} AS (
-  SELECT {key}, dim, value / sqrt(sum(value * value) OVER (PARTITION BY {key})) AS value FROM {name}_raw WHERE value <> 0)"""
+  SELECT {key}, dim, value / sqrt(sum(value * value) OVER (PARTITION BY {key})) AS value
+  FROM {name}_raw WHERE abs(value) > 1e-12)"""
 
 
-VECTORS = f"""
-slots AS (SELECT slot, count(*) AS freq
-          FROM (SELECT DISTINCT chunk_id, {_hex("term", 17, 8)} % 65536 AS slot FROM post) GROUP BY slot),
-{_vector("cv", "chunk_id", "post")}"""
+VECTORS = _vector("cv", "chunk_id", "post")
 VECTOR_SEARCH = f"""{VECTORS}, {_vector("qv", "query_id", "q")},
 vs AS (
   SELECT query_id, chunk_id, round(sum(qv.value * cv.value), 6) AS score FROM qv JOIN cv USING (dim) GROUP BY ALL),
@@ -284,18 +282,27 @@ cosines AS (
   SELECT query_id, vec_id, round(sum(c * x) / (any_value(norms.n) * any_value(cnorms.n)), 6) AS score
   FROM xs JOIN means USING (i) JOIN norms USING (vec_id) JOIN cnorms USING (query_id) GROUP BY query_id, vec_id)"""
 
-LSH = """
+# 512 signs of each vector; a question's 100 nearest by differing signs are compared.
+def _sketch(key: str, source: str, value: str) -> str:
+    return f"""(SELECT {key}, b, sum({value} * s) >= 0 AS side FROM {source} JOIN planes ON d = i GROUP BY ALL)"""
+
+
+SKETCHES = f"""
 planes AS (
-  SELECT t, b, d, CASE WHEN CAST('0x' || substr(md5(t || ':' || b || ':' || d), 1, 2) AS BIGINT) % 2 = 0 THEN 1.0::DOUBLE
-                       ELSE -1.0::DOUBLE END AS s
-  FROM range(4) AS tt(t), range(6) AS bb(b), range(64) AS dd(d)),
-v_codes AS (
-  SELECT vec_id, t, sum(CASE WHEN side >= 0 THEN 1 << b ELSE 0 END) AS code
-  FROM (SELECT vec_id, t, b, sum(x * s) AS side FROM xs JOIN planes ON d = i GROUP BY ALL) GROUP BY vec_id, t),
-q_codes AS (
-  SELECT query_id, t, sum(CASE WHEN side >= 0 THEN 1 << b ELSE 0 END) AS code
-  FROM (SELECT query_id, t, b, sum(c * s) AS side FROM means JOIN planes ON d = i GROUP BY ALL) GROUP BY query_id, t),
-near AS (SELECT DISTINCT query_id, vec_id FROM v_codes JOIN q_codes USING (t, code))"""
+  SELECT b, d, CASE WHEN CAST('0x' || substr(md5('sketch:' || b || ':' || d), 1, 2) AS BIGINT) % 2 = 0 THEN 1.0::DOUBLE
+                    ELSE -1.0::DOUBLE END AS s
+  FROM range(512) AS bb(b), range(64) AS dd(d)),
+apart AS (
+  SELECT query_id, vec_id, count(*) FILTER (v.side <> m.side) AS n
+  FROM {_sketch('vec_id', 'xs', 'x')} v JOIN {_sketch('query_id', 'means', 'c')} m USING (b) GROUP BY ALL),
+near AS (
+  SELECT query_id, vec_id
+  FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY n, vec_id) AS place FROM apart) WHERE place <= 100)"""
+EXACT = "exact AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM cosines)"
+APPROXIMATE = """
+ranked AS (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM cosines JOIN near USING (query_id, vec_id))"""
 
 FORGET = "forgotten AS (SELECT DISTINCT 'documents/' || doc_id AS path FROM labels WHERE toxic = 1)"
 
@@ -383,11 +390,12 @@ SELECT query_id, chunk_id, score, rank FROM second_rank WHERE rank <= 5""",
     "cosine_topk": f"""WITH {CENTROIDS},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM cosines)
 SELECT query_id, vec_id, score, rank FROM ranked WHERE rank <= 5""",
-    "ann_topk": f"""WITH {CENTROIDS}, {LSH},
-ranked AS (
-  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
-  FROM cosines JOIN near USING (query_id, vec_id))
-SELECT query_id, vec_id, score, rank FROM ranked WHERE rank <= 5""",
+    "ann_topk": f"WITH {CENTROIDS}, {SKETCHES}, {APPROXIMATE} SELECT query_id, vec_id, score, rank FROM ranked WHERE rank <= 5",
+    "ann_recall": f"""WITH {CENTROIDS}, {SKETCHES}, {APPROXIMATE}, {EXACT}
+SELECT count(*) AS wanted, count(r.vec_id) AS found, round(count(r.vec_id) / count(*), 6) AS recall
+FROM (SELECT * FROM exact WHERE rank <= 5) e LEFT JOIN (SELECT * FROM ranked WHERE rank <= 5) r USING (query_id, vec_id)""",
+    "search_after_sync": f"""WITH {PLAIN_2}, {_plain_pages('pages_v2', 'documents_v2')}, {_chunks('chunks', 'pages_v2')}, {TERMS}, {BM25}
+SELECT query_id, chunk_id, score, rank FROM bm_rank WHERE rank <= 5""",
     "hit_rate_at_k": f"{HIT_RATES} SELECT method, hits, questions, hit_rate FROM rates",
     "retrieval_gate": f"""{HIT_RATES}
 SELECT 'hit_rate_hybrid' AS metric, hit_rate AS value, 0.8::DOUBLE AS minimum, hit_rate >= 0.8 AS passed

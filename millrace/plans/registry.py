@@ -14,6 +14,7 @@ from millrace.functions.text import mask_entities, redact
 from millrace.operators import changes, documents as docs, evaluate, expectations, features, health, orders, search
 from millrace.operators.enrich import enrich_documents
 from millrace.operators.metrics import SALES_METRICS
+from millrace.operators.postings import KeywordIndex
 from millrace.plans import derived
 from millrace.session import new_path, written
 from millrace.sizing import lookup_join, spread
@@ -23,7 +24,7 @@ from millrace.streaming.runs import run_to_end
 
 K = 5
 RERANK_POOL = 20
-LSH = {"tables": 4, "bits": 6, "dims": 64}
+DIMS = 64
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -295,19 +296,30 @@ def _questions(spark: SparkSession, folder: str) -> DataFrame:
     return search.question_terms(table(spark, folder, "benchmark"), "item_id", "text")
 
 
-def _terms_index(spark: SparkSession, folder: str) -> DataFrame:
-    return written(search.index_terms(_doc_chunks(spark, folder)), "terms")
+def _keyword_index(chunks: DataFrame) -> KeywordIndex:
+    index = KeywordIndex(chunks.sparkSession, new_path(chunks.sparkSession, "keyword"))
+    index.sync(chunks)
+    return index
 
 
 @query
 def bm25_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return search.bm25_top_k(_terms_index(spark, folder), _questions(spark, folder), K)
+    return _keyword_index(_doc_chunks(spark, folder)).top_k(_questions(spark, folder), K)
+
+
+@query
+def search_after_sync(spark: SparkSession, folder: str) -> DataFrame:
+    """The index of the first version, brought up to date by what changed, answers like one of the second."""
+    old, new = _both_versions(spark, folder)
+    index = _keyword_index(old)
+    index.sync(new)
+    return index.top_k(_questions(spark, folder), K)
 
 
 @query
 def hashed_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    terms = _terms_index(spark, folder)
-    index = search.add_vectors(terms, search.slot_weights(terms))
+    terms = written(search.index_terms(_doc_chunks(spark, folder)), "terms")
+    index = search.add_vectors(terms.select("chunk_id", "terms"), search.term_weights(terms))
     return index.select("chunk_id", F.inline("vector")).select("chunk_id", "dim", F.round("value", 6).alias("value"))
 
 
@@ -328,7 +340,7 @@ def hybrid_topk(spark: SparkSession, folder: str) -> DataFrame:
 def reranked_topk(spark: SparkSession, folder: str) -> DataFrame:
     index = search.build_index(_doc_chunks(spark, folder))
     questions = _questions(spark, folder)
-    candidates = written(search.bm25_top_k(index.terms, questions, RERANK_POOL), "candidates")
+    candidates = written(index.keyword.top_k(questions, RERANK_POOL), "candidates")
     return search.rerank(candidates, index.vectors, search.question_vectors(questions, index.weights), K)
 
 
@@ -338,14 +350,23 @@ def cosine_topk(spark: SparkSession, folder: str) -> DataFrame:
     return search.dense_top_k(vectors, "vec_id", search.centroids(vectors, "label"), K)
 
 
+def _sketch_hits(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    index = search.SketchIndex(spark, new_path(spark, "sketches"), "vec_id", DIMS).write(vectors)
+    return index.top_k(search.centroids(vectors, "label"), K)
+
+
 @query
 def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return _sketch_hits(spark, folder)
+
+
+@query
+def ann_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """How many of the exact hits the approximate search finds."""
     vectors = table(spark, folder, "embeddings")
-    path = new_path(spark, "buckets")
-    search.write_buckets(vectors, "vec_id", path, **LSH)
-    return search.lsh_top_k(
-        spark.read.parquet(path), "vec_id", search.centroids(vectors, "label"), K, **LSH
-    )
+    exact = search.dense_top_k(vectors, "vec_id", search.centroids(vectors, "label"), K)
+    return search.recall(_sketch_hits(spark, folder), exact, "vec_id")
 
 
 def _hit_rates(spark: SparkSession, folder: str) -> DataFrame:
@@ -420,6 +441,7 @@ def forget_documents(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def forget_search(spark: SparkSession, folder: str) -> DataFrame:
     """Search after the deletion: the best hits without the forgotten documents."""
-    index = written(changes.without(_terms_index(spark, folder), "path", _forgotten(spark, folder)), "kept")
-    hits = search.bm25_top_k(index, _questions(spark, folder), K)
-    return lookup_join(index.select("chunk_id", "path"), hits, ["chunk_id"]).select("query_id", "chunk_id", "path", "rank")
+    index = _keyword_index(_doc_chunks(spark, folder))
+    index.remove(_forgotten(spark, folder))
+    hits = index.top_k(_questions(spark, folder), K)
+    return lookup_join(index.live().select("chunk_id", "path"), hits, ["chunk_id"]).select("query_id", "chunk_id", "path", "rank")

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import scoring
-from millrace.operators import evaluate, search
+from millrace.operators import evaluate, postings, search
+from millrace.operators.postings import KeywordIndex
 from millrace.session import new_path
 
 WORDS = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta", "theta", "iota", "kappa", "the", "the", "the"]
@@ -115,12 +116,28 @@ def test_vectors_have_unit_length_and_rank_copies_by_id(index, questions):
     assert hits[1][0][1] == hits[1][99][1]
 
 
-def test_slot_weights_count_rows(index, corpus):
+def test_vectors_follow_the_model(spark, corpus, chunks, index, monkeypatch):
+    """Exact frequencies by term, whether terms are sent to the rows or joined."""
     from hashlib import md5
 
-    slot = int(md5(b"the").hexdigest()[16:24], 16) % len(index.weights)
-    with_term = sum("the" in t.split() for _, _, t in corpus)
-    assert index.weights[slot] <= math.log(1 + (300 - with_term + 0.5) / (with_term + 0.5)) + 1e-12
+    docs = {i: Counter(t.split()) for i, _, t in corpus}
+    df = Counter(w for c in docs.values() for w in c)
+    want = {}
+    for i, counts in docs.items():
+        sums = Counter()
+        for w, n in counts.items():
+            a, b = (int(md5(w.encode()).hexdigest()[k : k + 8], 16) for k in (0, 8))
+            sums[a % 1024] += (1 if (b >> 28) % 2 == 0 else -1) * n * math.log(1 + (len(docs) - df[w] + 0.5) / (df[w] + 0.5))
+        norm = math.sqrt(sum(v * v for v in sums.values()))
+        want[i] = {d: v / norm for d, v in sums.items()}
+    for frequent in (65_536, 3, 0):
+        monkeypatch.setattr(search, "FREQUENT", frequent)
+        weights = index.weights
+        assert (len(weights.frequent) == len(df)) if frequent > 100 else (len(weights.frequent) <= frequent)
+        got = search.add_vectors(index.terms.select("chunk_id", "terms"), weights)
+        assert got.columns == ["chunk_id", "vector"]
+        for r in got.collect():
+            assert {e["dim"]: e["value"] for e in r["vector"]} == pytest.approx(want[r["chunk_id"]], abs=1e-12)
 
 
 def test_fusion_and_rerank(index, questions):
@@ -152,6 +169,103 @@ def test_nothing_of_the_size_rows_times_questions_is_shuffled(index, questions):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+@pytest.fixture(scope="module")
+def larger(spark):
+    """Rare and frequent words over many small blocks."""
+    rng = np.random.default_rng(5)
+    words = [f"w{n}" for n in range(400)]
+    weights = 1 / np.arange(1, 401)
+    texts = [" ".join(rng.choice(words, int(rng.integers(5, 60)), p=weights / weights.sum())) for _ in range(1500)]
+    rows_ = [(f"c{n:05d}", f"d{n // 5}", t if n % 7 else texts[0]) for n, t in enumerate(texts)] + [("empty", "d", ""), ("null", "d", None)]
+    return spark.createDataFrame(rows_, "chunk_id string, path string, chunk_to_embed string").repartition(4)
+
+
+def _asked(spark, n=60):
+    rng = np.random.default_rng(6)
+    asked = [(q, " ".join(f"w{int(i)}" for i in rng.integers(0, 420, int(rng.integers(1, 12))))) for q in range(n)]
+    return search.question_terms(spark.createDataFrame(asked, "q long, t string"), "q", "t")
+
+
+def _kept(spark, chunks):
+    index = KeywordIndex(spark, new_path(spark, "keyword"))
+    index.sync(chunks)
+    return index
+
+
+@pytest.mark.parametrize("k, block, pushed, small", [(1, 256, 10_000, True), (5, 8, 10_000, True), (5, 4, 3, False), (40, 16, 10_000, True)])
+def test_kept_index_answers_like_a_scan(spark, larger, monkeypatch, k, block, pushed, small):
+    monkeypatch.setattr(postings, "BLOCK", block)
+    monkeypatch.setattr(postings, "PUSHED", pushed)
+    if not small:
+        monkeypatch.setattr(postings, "is_small", lambda df: False)
+    index = _kept(spark, larger)
+    whole = search.index_terms(larger.fillna("", "chunk_to_embed"))  # nulls count as empty
+    want = answers(search.bm25_top_k(whole, _asked(spark), k))
+    got = answers(index.top_k(_asked(spark), k))
+    assert {q: [i for i, _ in h] for q, h in got.items()} == {q: [i for i, _ in h] for q, h in want.items()}
+    assert all(s == pytest.approx(t, abs=2e-6) for q in want for (_, s), (_, t) in zip(got[q], want[q]))
+
+
+def test_kept_index_skips_blocks_and_pushes_terms(spark, larger, monkeypatch):
+    monkeypatch.setattr(postings, "BLOCK", 8)
+    index = _kept(spark, larger)
+    seen = []
+    keep = postings.written
+    monkeypatch.setattr(postings, "written", lambda df, label: (seen.append((label, plan(df))), keep(df, label))[1])
+    hits = index.top_k(_asked(spark, 5), 3)
+    assert all("PushedFilters: [In(term" in text for label, text in seen if label in ("bars", "candidates"))
+    candidates = [t for label, t in seen if label == "candidates"][0]
+    assert "max_tf" in candidates and "NestedLoop" not in candidates and "Cartesian" not in candidates
+    assert "PushedFilters: [In(chunk_id" in plan(hits)
+    blocks = index._read("blocks")
+    assert blocks.agg(F.max(F.size("postings"))).first()[0] <= 8
+    assert blocks.agg(F.sum(F.size("postings"))).first()[0] == index.live().agg(F.sum(F.size("terms"))).first()[0]
+
+
+def test_synced_index_equals_a_new_one(spark, larger, tmp_path):
+    index = KeywordIndex(spark, str(tmp_path / "index"))
+    index.sync(larger)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "index").rglob("*.parquet")}
+    n = F.substring("chunk_id", 2, 5).try_cast("int")
+    second = larger.filter("chunk_id <> 'null'").filter(n.isNull() | (n % 10 != 0)).withColumn(
+        "chunk_to_embed", F.when(n % 10 == 1, F.concat("chunk_to_embed", F.lit(" w399 brandnew"))).otherwise(F.col("chunk_to_embed"))
+    )
+    added = spark.createDataFrame([("n1", "dn", "w1 w2 brandnew"), ("n2", "dn", "w399")], "chunk_id string, path string, chunk_to_embed string")
+    second = second.unionByName(added)
+    assert index.sync(second) and not index.sync(second)
+    new = _kept(spark, second)
+    asked, want = _asked(spark, 30), answers(new.top_k(_asked(spark, 30), 5))
+    assert index.totals() == pytest.approx(new.totals())
+    assert rows(index.frequencies()) == rows(new.frequencies())
+    assert rows(index.live().select("chunk_id", "digest", "n_terms")) == rows(new.live().select("chunk_id", "digest", "n_terms"))
+    assert answers(index.top_k(asked, 5)) == want
+    assert index.sync(larger)
+    # Files of earlier syncs are as they were, and a segment that was not finished does not count.
+    assert all(p.stat().st_mtime_ns == t for p, t in files.items())
+    last = index.segments()[-1]
+    (tmp_path / "index" / "totals" / f"segment={last}" / "_SUCCESS").unlink()
+    assert answers(index.top_k(asked, 5)) == want
+    index.sync(larger)
+    index.remove(spark.createDataFrame([("d0",), ("d7",)], "p string"))
+    rest = larger.filter("path not in ('d0', 'd7')")
+    assert answers(index.top_k(asked, 5)) == answers(_kept(spark, rest).top_k(asked, 5))
+
+
+def test_kept_vectors_follow_a_sync(spark, chunks, questions, tmp_path):
+    index = search.Index(spark, str(tmp_path))
+    index.sync(chunks)
+    fewer = chunks.filter("path > 'd3'")
+    assert index.sync(fewer) and not index.sync(fewer)
+    asked = lambda i: answers(search.vector_top_k(i.vectors, search.question_vectors(questions, i.weights), 9))
+    assert asked(index) == asked(search.build_index(fewer))
+
+
+def test_many_questions_at_once(spark, larger):
+    index = _kept(spark, larger)
+    many = _asked(spark, 5000)
+    assert index.top_k(many, 3).select("query_id").distinct().count() > 4900
+
+
 @pytest.fixture(scope="module")
 def dense(spark):
     rng = np.random.default_rng(11)
@@ -196,6 +310,30 @@ def test_lsh_scores_exactly_within_buckets(spark, dense):
     assert "PushedFilters: [In(bucket" in plan(search.lsh_top_k(buckets, "vec_id", queries, 3, **setting))
 
 
+def test_sketch_search(spark, dense, monkeypatch):
+    vectors, df = dense
+    queries = df.filter("vec_id in (3, 200, 399)").select(F.col("vec_id").alias("query_id"), "embedding")
+    index = search.SketchIndex(spark, new_path(spark, "sketches"), "vec_id", 16).write(df)
+    exact = search.dense_top_k(df, "vec_id", queries, 8)
+    sides = vectors @ search.sketch_planes(128, 16).T >= 0
+    chosen = answers(index.candidates(queries, 30).withColumn("score", F.lit(0.0)).withColumn("rank", F.lit(1)))
+    for q, hits in chosen.items():
+        near = sorted(range(400), key=lambda n: (int((sides[n] != sides[q]).sum()), n))[:30]
+        assert sorted(i for i, _ in hits) == sorted(near)
+    got = index.top_k(queries, 8)
+    assert search.recall(got, exact, "vec_id").first()["recall"] >= 0.9
+    want = answers(got)
+    monkeypatch.setattr(search, "PUSHED", 2)
+    assert answers(index.top_k(queries, 8)) == want
+    assert index.top_k(queries.limit(0), 8).count() == 0
+
+
+def test_recall_of_the_registered_search(spark, small):
+    from millrace.plans.registry import QUERIES
+
+    assert QUERIES["ann_recall"](spark, f"{small}/../sf0.1").first()["recall"] >= 0.9
+
+
 def test_citations(spark, index, questions):
     chunks = index.terms.select("chunk_id", F.lit("text").alias("chunk_content"), "path", F.lit("u").alias("source_uri"), F.lit(0).alias("chunk_position"))
     out = search.with_citations(search.bm25_top_k(index.terms, questions, 2), chunks)
