@@ -171,26 +171,26 @@ def bucket_codes(planes: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Ite
     return run
 
 
-def block_cutter(size: int, id_col: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Postings ``term, tf, id, n_terms`` in order of term to one row per up to ``size`` postings of a term."""
+def block_cutter(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Postings ``term, tf, no, n_terms`` in order of term to one row per up to ``size`` postings of a term."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            term, tf, ids, lengths = batch.columns
+            term, tf, numbers, lengths = batch.columns
             coded = term.dictionary_encode().indices.to_numpy()
             starts = np.flatnonzero(np.r_[True, coded[1:] != coded[:-1]])
             run_of = np.cumsum(np.r_[True, coded[1:] != coded[:-1]]) - 1
             inside = np.arange(len(coded)) - starts[run_of]
             first = np.flatnonzero(inside % size == 0)
-            entries = pa.StructArray.from_arrays([ids, tf, lengths], names=[id_col, "tf", "n_terms"])
+            entries = pa.StructArray.from_arrays([numbers, tf, lengths], names=["no", "tf", "n_terms"])
             offsets = pa.array(np.r_[first, len(coded)].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     term.take(pa.array(first)),
                     pa.array(np.maximum.reduceat(tf.to_numpy(), first), pa.int32()),
-                    pa.array(np.minimum.reduceat(lengths.to_numpy(), first), pa.int64()),
+                    pa.array(np.minimum.reduceat(lengths.to_numpy(), first), pa.int32()),
                     pa.ListArray.from_arrays(offsets, entries),
                 ],
                 names=["term", "max_tf", "min_terms", "postings"],

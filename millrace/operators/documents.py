@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.markup import html_elements, html_error
+from millrace.functions.markup import html_elements, html_error, html_warning
 from millrace.functions.nested import TITLE_TYPES
 from millrace.functions.text import let, pii_engine, windows
 
+# Sizes of windows, the columns of chunks and of citations, and the form of ids and citations below.
 CHUNK_SIZE = 1000
 CHUNK_OVERLAP = 150
 MIN_CHUNK_CHARS = 50
@@ -27,15 +28,15 @@ CHUNK_SCHEMA = T.StructType(
 CITATION_COLUMNS = ["chunk_id", "chunk_content", "source_uri", "chunk_position"]
 
 # Element types that frame a web page rather than say something.
-FRAME_TYPES = ("list_item", "footer")
+FRAME_TYPES = ("navigation", "footer")
 
 
 def parse_html(
     df: DataFrame, path: Column, html: Column, elements_per_page: int = 10, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """One row per document: ``path``, ``elements`` (page, type, text), ``error_status`` and the columns to ``keep``.
+    """One row per document: ``path``, ``elements`` (page, type, text), ``error_status``, ``warning`` and the columns to ``keep``.
 
-    Web pages have no page breaks, so every ``elements_per_page`` elements make a page.
+    Only a page without anything is an error. One that was cut off keeps what it has, with a warning. Web pages have no page breaks, so every ``elements_per_page`` elements make a page.
     """
     if elements_per_page < 1:
         raise ValueError("elements_per_page must be at least 1")
@@ -45,7 +46,7 @@ def parse_html(
             F.floor(i / elements_per_page).cast("int").alias("page"), e["type"].alias("type"), e["text"].alias("text")
         ),
     )
-    return df.select(path.alias("path"), *keep, numbered.alias("elements"), html_error(html).alias("error_status"))
+    return df.select(path.alias("path"), *keep, numbered.alias("elements"), html_error(html).alias("error_status"), html_warning(html).alias("warning"))
 
 
 def parse_plain(df: DataFrame, path: Column, text: Column) -> DataFrame:

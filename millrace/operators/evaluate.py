@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import written
 from millrace.sizing import is_small, lookup_join
 
 MIN_HIT_RATE = 0.80
@@ -20,26 +21,31 @@ def passage_sources(passages: DataFrame, documents: DataFrame, id_col: str, text
     """``query_id, path`` for every document (``path, text``) that contains a passage word for word.
 
     A word inside the passage, neither first nor last, has the same breaks around it in the document. So documents are
-    matched on the longest such word first, and only those that hold it are searched for the whole passage.
+    matched on the longest such word first, and only those that hold it are searched for the whole passage. Passages without such a
+    word are looked for in every document, a bounded number at a time. Null and empty passages are nowhere.
     """
     words = F.split(F.col(text), WORD_BREAK)
     inner = F.filter(F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0))), lambda w: w != "")
     longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    too_short = F.raise_error(F.lit("a passage needs at least three words"))
-    anchors = passages.select(
-        F.col(id_col).alias("query_id"), F.col(text).alias("passage"), F.coalesce(longest, too_short).alias("anchor")
+    every = passages.filter(F.coalesce(F.col(text), F.lit("")) != "").select(
+        F.col(id_col).alias("query_id"), F.col(text).alias("passage"), longest.alias("anchor")
     )
+    anchors = every.filter("anchor is not null")
+    short = written(every.filter("anchor is null").select("query_id", "passage"), "short")
     held = F.array_distinct(F.split("text", WORD_BREAK))
     if is_small(anchors.select("anchor"), ANCHORS_IN_ROW):
         # Few passages: cut each document's words down to the anchors before making rows of them.
         held = F.array_intersect(held, anchors.agg(F.collect_set("anchor")).scalar())
     found = documents.select("path", "text", F.explode(held).alias("anchor"))
-    return (
-        lookup_join(found, anchors, ["anchor"], spread_by=F.col("path"))
-        .filter(F.contains("text", "passage"))
-        .select("query_id", "path")
-        .distinct()
-    )
+    hits = lookup_join(found, anchors, ["anchor"], spread_by=F.col("path")).filter(F.contains("text", "passage"))
+    hits = hits.select("query_id", "path")
+    blocks = -(-short.count() // ANCHORS_IN_ROW)
+    for number in range(blocks):
+        block = short.filter(F.pmod(F.xxhash64("passage", "query_id"), F.lit(blocks)) == number)
+        listed = block.agg(F.collect_list(F.struct("query_id", "passage"))).scalar()
+        held = F.explode(F.filter(listed, lambda p: F.contains(F.col("text"), p["passage"])))
+        hits = hits.unionByName(documents.select(held.alias("p"), "path").select("p.query_id", "path"))
+    return hits.distinct()
 
 
 def hit_rates(

@@ -20,12 +20,14 @@ B = 0.75
 
 BLOCK = 256
 # So many names go to the scan as a filter; more are joined.
-PUSHED = 10_000
+PUSHED = 2_000
 # A question's rarest terms are read first, until they have about so many postings for each hit that is asked for.
 FIRST_READ = 20
 # Scores are rounded to six places; a bound that is this much short of the bar cannot be rounded up to it.
 SLACK = 1e-5
-ROW_GROUP = 4 << 20
+ROW_GROUP = 16 << 20
+# A row's number is its segment, shifted by so many bits, and its place in the segment: 8,000 segments of 100,000 tasks each.
+PLACE_BITS = 50
 
 
 def idf(documents: Column, frequency: Column) -> Column:
@@ -55,13 +57,21 @@ def rank_hits(hits: DataFrame, k: int, id_col: str) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def is_one_of(column: str, values: list[str] | list[int]) -> Column:
+    """A filter that reaches the scan. Written as text: as single literals, thousands would take seconds to hand over."""
+    if not values:
+        return F.lit(False)
+    quoted = [v if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values]
+    return F.expr(f"{column} IN ({', '.join(map(str, quoted))})")
+
+
 class KeywordIndex:
     """Tables in one folder, each with a partition per sync (``segment``):
 
-    - ``forward``: a row per chunk that was added: id, ``path``, ``digest`` of its text, ``terms`` and ``n_terms``; in order of id
+    - ``forward``: a row per chunk that was added: a number ``no``, id, ``path``, ``digest`` of its text, ``terms`` and ``n_terms``; in order of ``no``
     - ``blocks``: the postings of these rows, up to ``BLOCK`` of one term in a row, those that count most first, with the largest ``tf`` and
       smallest ``n_terms`` among them; in order of term, so that a scan can skip terms nobody asks for, and a frequent term is many rows
-    - ``gone``: ids whose rows in earlier segments no longer count
+    - ``gone``: numbers of rows in earlier segments that no longer count
     - ``counts``: by how many chunks a term's number of chunks went up or down
     - ``totals``: the same for all chunks and their lengths. Written last: a segment without it does not count, and is written anew.
 
@@ -79,12 +89,11 @@ class KeywordIndex:
         return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in fs.globStatus(marks) or [])
 
     def _schema(self, name: str) -> T.StructType:
-        posting = f"{self.id_col} string, tf int, n_terms long"
         return T._parse_datatype_string(
             {
-                "forward": f"{self.id_col} string, path string, digest string, terms array<struct<term:string,tf:int>>, n_terms long",
-                "blocks": f"term string, max_tf int, min_terms long, postings array<struct<{posting.replace(' ', ':', 3).replace(':tf', 'tf')}>>",
-                "gone": f"{self.id_col} string",
+                "forward": f"no long, {self.id_col} string, path string, digest string, terms array<struct<term:string,tf:int>>, n_terms int",
+                "blocks": "term string, max_tf int, min_terms int, postings array<struct<no:long,tf:int,n_terms:int>>",
+                "gone": "no long",
                 "counts": "term string, chunks long",
                 "totals": "chunks long, n_terms long",
             }[name]
@@ -101,7 +110,8 @@ class KeywordIndex:
         path = f"{self.path}/{name}/segment={segment}"
         schema = self._schema(name)
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-        rows.write.mode("overwrite").option("parquet.block.size", ROW_GROUP).parquet(path)
+        writer = rows.write.mode("overwrite").option("parquet.block.size", ROW_GROUP)
+        writer.option("parquet.enable.dictionary#postings.list.element.no", "false").parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
     # --- writing ---------------------------------------------------------------------------------------------------
@@ -122,59 +132,55 @@ class KeywordIndex:
         if not known:
             self._add(1, self._rows(chunks, text), None)
             return True
-        state = lambda df: df.select(self.id_col, F.md5(F.concat_ws("\x01", "digest", "path")).alias("state"))
+        state = F.md5(F.concat_ws("\x01", "digest", "path"))
         new = chunks.select(self.id_col, "path", F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"))
-        before, after = (state(df).toDF(*names) for df, names in ((self.live(), ("_was", "_old")), (new, ("_is", "_new"))))
+        before = self.live().select("no", F.col(self.id_col).alias("_was"), state.alias("_old"))
+        after = new.select(F.col(self.id_col).alias("_is"), state.alias("_new"))
         changed = before.join(after, F.col("_was") == F.col("_is"), "full_outer").filter(~F.col("_old").eqNullSafe(F.col("_new")))
-        changed = written(changed.select("_was", "_is"), "changed")
+        changed = written(changed.select("no", "_is"), "changed")
         if not changed.head(1):
             return False
-        gone = changed.filter("_was is not null").select(F.col("_was").alias(self.id_col))
         came = changed.filter("_is is not null").select(F.col("_is").alias(self.id_col))
-        self._add(known[-1] + 1, self._rows(lookup_join(chunks, came, [self.id_col], "left_semi", F.col(self.id_col)), text), gone)
+        rows = self._rows(lookup_join(chunks, came, [self.id_col], "left_semi", F.col(self.id_col)), text)
+        self._add(known[-1] + 1, rows, changed.filter("no is not null").select("no"))
         return True
 
     def remove(self, keys: DataFrame, column: str = "path") -> None:
         """Take out all chunks whose ``column`` is in the only column of ``keys``."""
         wanted = keys.select(F.col(keys.columns[0]).alias(column)).distinct()
-        gone = lookup_join(self.live().select(self.id_col, column), wanted, [column], "left_semi", F.col(self.id_col))
-        gone = written(gone.select(self.id_col), "gone")
-        self._add(self.segments()[-1] + 1, self.live().limit(0).select(*self._schema("forward").names), gone)
+        gone = lookup_join(self.live().select("no", column), wanted, [column], "left_semi", F.col("no"))
+        self._add(self.segments()[-1] + 1, self.live().limit(0).drop("no", "segment"), written(gone.select("no"), "gone"))
 
     def _add(self, segment: int, added: DataFrame, gone: DataFrame | None) -> None:
-        by_id = added.repartitionByRange(self.id_col).sortWithinPartitions(self.id_col) if segment > 1 else added
-        added = self._write(by_id, "forward", segment)
+        number = F.lit(segment << PLACE_BITS) + F.monotonically_increasing_id()
+        added = self._write(added.withColumn("no", number), "forward", segment)
         signed = added.select(F.lit(1).alias("sign"), "terms", "n_terms")
         if gone is None:
             gone = self.spark.createDataFrame([], self._schema("gone"))
         else:
-            lost = lookup_join(self.live(), gone, [self.id_col], "left_semi", F.col(self.id_col))
-            signed = signed.unionByName(written(lost.select(F.lit(-1).alias("sign"), "terms", "n_terms"), "lost"))
-        postings = added.select(F.explode("terms").alias("t"), self.id_col, "n_terms")
-        postings = postings.select("t.term", "t.tf", self.id_col, "n_terms")
-        order = ["term", F.desc("tf"), "n_terms", self.id_col]
+            lost = lookup_join(self._read("forward"), gone, ["no"], "left_semi", F.col("no"))
+            signed = signed.unionByName(lost.select(F.lit(-1).alias("sign"), "terms", "n_terms"))
+        postings = added.select(F.explode("terms").alias("t"), "no", "n_terms").select("t.term", "t.tf", "no", "n_terms")
+        order = ["term", F.desc("tf"), "n_terms", "no"]
         ordered = postings.repartitionByRange(*order).sortWithinPartitions(*order)
-        self._write(ordered.mapInArrow(scoring.block_cutter(BLOCK, self.id_col), self._schema("blocks")), "blocks", segment)
+        self._write(ordered.mapInArrow(scoring.block_cutter(BLOCK), self._schema("blocks")), "blocks", segment)
         counts = signed.select(F.explode("terms.term").alias("term"), "sign").groupBy("term").agg(F.sum("sign").alias("chunks"))
         self._write(counts.repartitionByRange("term").sortWithinPartitions("term"), "counts", segment)
         self._write(gone, "gone", segment)
-        total = signed.agg(
-            F.coalesce(F.sum("sign"), F.lit(0)).alias("chunks"), F.coalesce(F.sum(F.col("sign") * F.col("n_terms")), F.lit(0)).alias("n_terms")
-        )
+        length = F.col("sign") * F.col("n_terms")
+        total = signed.agg(F.coalesce(F.sum("sign"), F.lit(0)).alias("chunks"), F.coalesce(F.sum(length), F.lit(0)).alias("n_terms"))
         self._write(total, "totals", segment)
 
     # --- reading ---------------------------------------------------------------------------------------------------
 
     def _counting(self, rows: DataFrame) -> DataFrame:
-        """Of rows with id and ``segment``, those of chunks that were not taken out or replaced later."""
+        """Of rows with ``no``, those of chunks that were not taken out or replaced later."""
         if len(self.segments()) == 1:
             return rows
-        until = self._read("gone").groupBy(self.id_col).agg(F.max("segment").alias("_until"))
-        joined = lookup_join(rows, until, [self.id_col], "left", F.col(self.id_col))
-        return joined.filter("_until is null or segment >= _until").drop("_until")
+        return lookup_join(rows, self._read("gone").select("no"), ["no"], "left_anti", F.col("no"))
 
     def live(self) -> DataFrame:
-        """A row per chunk of the index: id, ``path``, ``digest``, ``terms``, ``n_terms`` and ``segment``."""
+        """A row per chunk of the index: ``no``, id, ``path``, ``digest``, ``terms``, ``n_terms`` and ``segment``."""
         return self._counting(self._read("forward"))
 
     def totals(self) -> tuple[int, float]:
@@ -195,7 +201,7 @@ class KeywordIndex:
         ``questions`` has ``query_id`` and ``terms``; a question in several rows asks for all their terms. All questions are
         answered at once, and stay a table. The postings of a question's rarest terms give its k-th best score so far, the bar. Terms that cannot reach
         the bar together find nothing by themselves, and of other terms only blocks are opened that could reach it with all the question's
-        other terms. What is left is scored in full from the chunk's own terms. Nothing that could be among the best is left out.
+        other terms. Chunks that could still be among the best are scored in full from their own terms. None that is among them is left out.
         """
         documents, mean = self.totals()
         asked = written(questions.select("query_id", F.explode("terms.term").alias("term")).distinct(), "asked")
@@ -205,8 +211,9 @@ class KeywordIndex:
 
         def of_asked(df: DataFrame) -> DataFrame:
             if len(names) <= PUSHED:
-                return df.filter(F.col("term").isin(names))
-            return lookup_join(df, asked.select("term").distinct(), ["term"], "left_semi")
+                return df.filter(is_one_of("term", names))
+            terms = asked.select("term").distinct()
+            return df.join(F.broadcast(terms) if small else terms, "term", "left_semi")
 
         def joined(big: DataFrame, terms: DataFrame, on: list[str], spread_by: Column) -> DataFrame:
             return big.join(F.broadcast(terms), on) if small else lookup_join(big, terms, on, spread_by=spread_by)
@@ -232,17 +239,17 @@ class KeywordIndex:
         )
 
         def found(terms: DataFrame, could: Column | None = None) -> DataFrame:
-            """``query_id, id, part``: sums over the postings of ``terms``, in the blocks that ``could`` matter."""
+            """``query_id, no, part``: sums over the postings of ``terms``, in the blocks that ``could`` matter."""
             blocks = of_asked(self._read("blocks"))
             opened = joined(blocks, terms, ["term"], F.xxhash64("max_tf", "min_terms", F.size("postings")))
             opened = opened.filter(could) if could is not None else opened
             kept = [c for c in terms.columns if c != "term"]
-            rows = opened.select("segment", *kept, F.inline("postings"))
+            rows = opened.select(*kept, F.inline("postings"))
             part = F.col("idf") * saturation(F.col("tf"), F.col("n_terms"), mean)
-            return self._counting(rows).groupBy("query_id", self.id_col).agg(F.sum(part).alias("part"))
+            return self._counting(rows).groupBy("query_id", "no").agg(F.sum(part).alias("part"))
 
         best = found(weights.filter("first").select("query_id", "term", "idf")).withColumnRenamed("part", "score")
-        bars = rank_hits(best, k, self.id_col).groupBy("query_id").agg(
+        bars = rank_hits(best, k, "no").groupBy("query_id").agg(
             F.when(F.count(F.lit(1)) == k, F.min("score") - SLACK).alias("bar")
         )
         bars = written(bars, "bars")
@@ -250,17 +257,21 @@ class KeywordIndex:
         rest = told.filter("reach < bar").groupBy("query_id").agg(F.max("reach").alias("rest"))
         needed = told.filter("reach >= bar").select("query_id", "term", "idf", F.col("total") - F.col("most") + SLACK, "bar")
         needed = needed.toDF("query_id", "term", "idf", "others", "bar")
-        parts = found(needed, F.col("idf") * bound + F.col("others") >= F.col("bar"))
-        limits = bars.join(rest, "query_id", "left").select("query_id", (F.coalesce("bar", F.lit(0.0)) - F.coalesce("rest", F.lit(0.0))).alias("least"))
-        candidates = parts.join(limits, "query_id", "left").filter("least is null or part >= least").select("query_id", self.id_col)
+        parts = written(found(needed, F.col("idf") * bound + F.col("others") >= F.col("bar")), "parts")
+        # These sums are nearly whole, so their k-th best is a far better bar, and only the terms that were left out are still open.
+        better = rank_hits(parts.withColumnRenamed("part", "score"), k, "no").groupBy("query_id").agg(
+            F.when(F.count(F.lit(1)) == k, F.min("score") - SLACK).alias("bar")
+        )
+        limits = better.join(rest, "query_id", "left").select("query_id", (F.col("bar") - F.coalesce("rest", F.lit(0.0))).alias("least"))
+        limits = F.broadcast(limits) if small else limits
+        candidates = parts.join(limits, "query_id", "left").filter("least is null or part >= least").select("query_id", "no")
         candidates = written(candidates, "candidates")
-        few = [r[0] for r in candidates.select(self.id_col).limit(PUSHED + 1).collect()]
-        forward = self._read("forward").select(self.id_col, "terms", "n_terms", "segment")
+        few = [r[0] for r in candidates.select("no").limit(PUSHED + 1).collect()]
+        forward = self._read("forward").select("no", self.id_col, "terms", "n_terms")
         if len(few) <= PUSHED:
-            forward = forward.filter(F.col(self.id_col).isin(sorted(set(few))))
-            rows = self._counting(forward).join(F.broadcast(candidates), self.id_col)
+            rows = forward.filter(is_one_of("no", sorted(set(few)))).join(F.broadcast(candidates), "no")
         else:
-            rows = lookup_join(self._counting(forward), candidates, [self.id_col], spread_by=F.col(self.id_col))
+            rows = lookup_join(forward, candidates, ["no"], spread_by=F.col("no"))
         terms = rows.select("query_id", self.id_col, "n_terms", F.inline("terms"))
         weighted = joined(terms, weights.select("query_id", "term", "idf"), ["query_id", "term"], F.col(self.id_col))
         part = F.col("idf") * saturation(F.col("tf"), F.col("n_terms"), mean)

@@ -426,7 +426,7 @@ class SketchIndex:
         ids = [r[0] for r in chosen.select(self.id_col).distinct().limit(PUSHED + 1).collect()]
         vectors_ = self._vectors()
         if len(ids) <= PUSHED:
-            vectors_ = vectors_.filter(F.col(self.id_col).isin(ids))
+            vectors_ = vectors_.filter(F.col(self.id_col).isin(ids))  # of any type
         pairs = lookup_join(vectors_, chosen, [self.id_col], spread_by=F.col(self.id_col))
         asked = queries.select("query_id", F.col("embedding").alias("_asked"))
         scored = lookup_join(pairs, asked, ["query_id"], spread_by=F.col(self.id_col)).select(

@@ -58,8 +58,13 @@ def point_in_time_labels(events: DataFrame) -> DataFrame:
     )
 
 
-def nested_parse(parsed: DataFrame) -> DataFrame:
-    """Parse results as a nested VARIANT, with a note that has its page on a higher level."""
+def page_levels() -> Column:
+    """So many objects around a document: 0 to 19, by its path."""
+    return F.pmod(F.length(F.regexp_replace("path", "[^0-9]", "")) * 7 + F.length("path"), F.lit(20)).cast("int")
+
+
+def nested_parse(parsed: DataFrame, levels: Column | None = None) -> DataFrame:
+    """Parse results as a nested VARIANT, with a note that has its page on a higher level, inside ``levels`` more objects."""
     element = lambda e: F.struct(
         e["type"].alias("type"), e["text"].alias("content"), e["page"].alias("page_id")
     )
@@ -69,7 +74,10 @@ def nested_parse(parsed: DataFrame) -> DataFrame:
             "meta"
         ),
     )
-    return parsed.select("path", F.parse_json(F.to_json(F.struct(document.alias("document")))).alias("parsed"))
+    json = F.to_json(F.struct(document.alias("document")))
+    if levels is not None:
+        json = F.concat(F.repeat(F.lit('{"in":'), levels), json, F.repeat(F.lit("}"), levels))
+    return parsed.select("path", F.parse_json(json).alias("parsed"))
 
 
 def line_contents(documents: DataFrame) -> DataFrame:

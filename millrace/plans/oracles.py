@@ -5,7 +5,7 @@ Written from the definitions, not from the Spark code: text windows by substring
 
 from __future__ import annotations
 
-from millrace.functions.markup import BLOCK_TAGS
+from millrace.functions.markup import BLOCK_TAGS, CHARACTER_NAMES, FRAME_TAGS
 from millrace.functions.text import ENTITY_RULES, WHITESPACE
 from millrace.plans.derived import (
     DOCUMENT_FIELDS,
@@ -144,28 +144,50 @@ def _chunks(name: str, pages: str) -> str:
 DOC_CHUNKS = f"{PLAIN}, {_plain_pages('pages_v1', 'documents_v1')}, {_chunks('chunks', 'pages_v1')}"
 
 _TEXT = "list_extract(string_split(b, chr(2)), -1)"
-_CLEAN = f"regexp_replace({_TEXT}, '<[^>]*>', ' ', 'g')"
-for _name, _char in {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "''", "&amp;": "&"}.items():
-    _CLEAN = f"replace({_CLEAN}, '{_name}', '{_char}')"
+_CLEAN = f"regexp_replace({_TEXT}, '<[a-zA-Z/!?][^>]*(?:>|\\z)', ' ', 'g')"
+for _name, _char in CHARACTER_NAMES.items():
+    _quoted = _char.replace("'", "''")
+    _CLEAN = f"replace({_CLEAN}, '{_name}', '{_quoted}')"
 
+
+def _open(names: str) -> str:
+    """One more or less open element of these names."""
+    listed = names.split("|")
+    return f"CASE WHEN tag IN ({', '.join(repr(n) for n in listed)}) THEN 1 WHEN tag IN ({', '.join(repr('/' + n) for n in listed)}) THEN -1 ELSE 0 END"
+
+
+_SO_FAR = "OVER (PARTITION BY path ORDER BY g ROWS UNBOUNDED PRECEDING)"
 ELEMENTS = rf"""
-marked AS (
-  SELECT url AS path, regexp_replace(regexp_replace(translate(coalesce(html, ''), chr(1) || chr(2), ''),
-           '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'),
-           '(?i)<({BLOCK_TAGS})(\s[^>]*)?>', chr(1) || '\1' || chr(2), 'g') AS m,
-         CASE WHEN trim(coalesce(html, ''), {WS}) = '' THEN 'empty'
-              WHEN NOT ends_with(lower(trim(html, {WS})), '</html>') THEN 'truncated' END AS error_status
+visible AS (
+  SELECT url AS path, regexp_replace(translate(coalesce(html, ''), chr(1) || chr(2) || chr(3), ''),
+           '(?is)<script.*?(?:</script>|\z)|<style.*?(?:</style>|\z)|<!--.*?(?:-->|\z)', '', 'g') AS v,
+         CASE WHEN trim(coalesce(html, ''), {WS}) = '' THEN 'empty' END AS error_status
   FROM pages),
+parts AS (
+  SELECT path, error_status, unnest(l) AS s, unnest(range(len(l))) AS g
+  FROM (SELECT path, error_status,
+               string_split(chr(2) || regexp_replace(v, '(?i)<(/?(?:{FRAME_TAGS}))(?:\s[^>]*)?>', chr(3) || '\1' || chr(2), 'g'), chr(3)) AS l
+        FROM visible)),
+tagged AS (SELECT *, lower(split_part(s, chr(2), 1)) AS tag FROM parts),
+summed AS (
+  SELECT *, sum({_open('nav')}) {_SO_FAR} AS navs, sum({_open('footer')}) {_SO_FAR} AS footers,
+         sum({_open('article|main')}) {_SO_FAR} AS bodies FROM tagged),
+framed AS (
+  SELECT path, error_status, g, substr(s, strpos(s, chr(2)) + 1) AS rest,
+         CASE WHEN navs > least(0, min(navs) {_SO_FAR}) THEN 'navigation'
+              WHEN footers > least(0, min(footers) {_SO_FAR}) AND bodies = least(0, min(bodies) {_SO_FAR}) THEN 'footer' END AS frame
+  FROM summed),
 blocks AS (
-  SELECT path, error_status, unnest(l) AS b, unnest(range(len(l))) AS n
-  FROM (SELECT path, error_status, string_split('p' || chr(2) || m, chr(1)) AS l FROM marked)),
+  SELECT path, error_status, g, frame, unnest(l) AS b, unnest(range(len(l))) AS n
+  FROM (SELECT *, string_split('p' || chr(2) || regexp_replace(regexp_replace(rest, '(?i)<({BLOCK_TAGS})(\s[^>]*)?>', chr(1) || '\1' || chr(2), 'g'),
+                    '(?i)</(?:{BLOCK_TAGS})\s*>', chr(1) || 'p' || chr(2), 'g'), chr(1)) AS l FROM framed)),
 typed AS (
-  SELECT path, error_status, n, lower(split_part(b, chr(2), 1)) AS tag,
+  SELECT path, error_status, g, n, frame, lower(split_part(b, chr(2), 1)) AS tag,
          trim(regexp_replace({_CLEAN}, '[ \n\t\r]+', ' ', 'g'), {WS}) AS text FROM blocks),
 els AS (
-  SELECT path, error_status, row_number() OVER (PARTITION BY path ORDER BY n) - 1 AS position, text,
-         CASE WHEN tag = 'title' THEN 'title' WHEN regexp_matches(tag, '^h[1-6]$') THEN 'heading'
-              WHEN tag = 'li' THEN 'list_item' WHEN tag = 'footer' THEN 'footer' ELSE 'text' END AS type
+  SELECT path, error_status, row_number() OVER (PARTITION BY path ORDER BY g, n) - 1 AS position, text,
+         CASE WHEN frame IS NOT NULL THEN frame WHEN tag = 'title' THEN 'title' WHEN regexp_matches(tag, '^h[1-6]$') THEN 'heading'
+              WHEN tag = 'li' THEN 'list_item' ELSE 'text' END AS type
   FROM typed WHERE text <> ''),
 elements AS (
   SELECT path, error_status, CAST(position AS INTEGER) AS position, CAST(position // 10 AS INTEGER) AS page, type, text
@@ -348,10 +370,10 @@ asked AS (SELECT event_id, user_id AS customer_key, ts - INTERVAL {LABEL_SHIFT_Y
 SELECT event_id, a.customer_key, label_time, feature_time, day_orders, day_spent
 FROM asked a ASOF LEFT JOIN history h ON a.customer_key = h.customer_key AND a.label_time >= h.feature_time""",
     "docs_binary_ingest": "SELECT doc_id, length(text) AS n_chars, md5(text) AS digest FROM documents",
-    "parse_errors": f"WITH {ELEMENTS} SELECT count(*) FILTER (WHERE error_status IS NOT NULL) AS parse_errors FROM marked",
+    "parse_errors": f"WITH {ELEMENTS} SELECT count(*) FILTER (WHERE error_status IS NOT NULL) AS parse_errors FROM visible",
     "doc_elements": f"WITH {ELEMENTS} SELECT path, position, page, type, text FROM elements",
     "element_walk": f"""WITH {ELEMENTS},
-counts AS (SELECT path, (SELECT count(*) FROM elements e WHERE e.path = m.path) AS n FROM marked m)
+counts AS (SELECT path, (SELECT count(*) FROM elements e WHERE e.path = m.path) AS n FROM visible m)
 SELECT path, position, page, type, text FROM elements
 UNION ALL SELECT path, CAST(n AS INTEGER), 3, '', path FROM counts""",
     "event_properties": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
@@ -359,7 +381,7 @@ UNION ALL SELECT path, CAST(n AS INTEGER), 3, '', path FROM counts""",
     "docs_redacted": f"SELECT doc_id, {_redact('text')} AS text FROM documents",
     "docs_masked_entities": f"""SELECT doc_id, {_replace("coalesce(text, '')", *ENTITY_RULES.values())} AS text FROM documents""",
     "doc_chunks": f"WITH {DOC_CHUNKS} SELECT * FROM chunks",
-    "page_chunks": f"""WITH {ELEMENTS}, {_html_pages('assembled', "type NOT IN ('list_item', 'footer')")},
+    "page_chunks": f"""WITH {ELEMENTS}, {_html_pages('assembled', "type NOT IN ('navigation', 'footer')")},
 {_chunks('chunks', 'assembled')} SELECT * FROM chunks""",
     "prechunked": f"""WITH lines AS (
   SELECT 'documents/' || doc_id AS path, source, lang, unnest(l) AS line, unnest(range(len(l))) AS i
@@ -424,4 +446,5 @@ chunks AS (SELECT * FROM all_chunks WHERE path NOT IN (SELECT path FROM forgotte
 SELECT query_id, chunk_id, path, rank FROM bm_rank JOIN tok USING (chunk_id) WHERE rank <= 5""",
 }
 ORACLES["features_lookup_function"] = ORACLES["features_lookup_json"]
+ORACLES["element_walk_deep"] = ORACLES["element_walk"]
 ORACLES["doc_chunks_stream"] = ORACLES["doc_chunks"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.nested import walk_elements
+from millrace.functions.nested import walk_any_depth, walk_elements
 from millrace.functions.text import mask_entities, redact
 from millrace.operators import changes, documents as docs, evaluate, expectations, features, health, orders, search
 from millrace.operators.enrich import enrich_documents
@@ -216,6 +216,13 @@ def element_walk(spark: SparkSession, folder: str) -> DataFrame:
     return docs.elements(walk_elements(parsed, "parsed"))
 
 
+@query
+def element_walk_deep(spark: SparkSession, folder: str) -> DataFrame:
+    """The same documents, each nested in up to 19 more objects."""
+    nested = derived.nested_parse(_parsed_pages(spark, folder), levels=derived.page_levels())
+    return docs.elements(walk_any_depth(written(nested, "parsed"), "parsed"))
+
+
 @query
 def event_properties(spark: SparkSession, folder: str) -> DataFrame:
     """Access by path into a semi-structured column, with a safe cast."""

@@ -213,10 +213,10 @@ def test_kept_index_skips_blocks_and_pushes_terms(spark, larger, monkeypatch):
     keep = postings.written
     monkeypatch.setattr(postings, "written", lambda df, label: (seen.append((label, plan(df))), keep(df, label))[1])
     hits = index.top_k(_asked(spark, 5), 3)
-    assert all("PushedFilters: [In(term" in text for label, text in seen if label in ("bars", "candidates"))
-    candidates = [t for label, t in seen if label == "candidates"][0]
-    assert "max_tf" in candidates and "NestedLoop" not in candidates and "Cartesian" not in candidates
-    assert "PushedFilters: [In(chunk_id" in plan(hits)
+    assert all("PushedFilters: [In(term" in text for label, text in seen if label in ("bars", "parts"))
+    opened = [t for label, t in seen if label == "parts"][0]
+    assert "max_tf" in opened and "NestedLoop" not in opened and "Cartesian" not in opened
+    assert "PushedFilters: [In(no" in plan(hits)
     blocks = index._read("blocks")
     assert blocks.agg(F.max(F.size("postings"))).first()[0] <= 8
     assert blocks.agg(F.sum(F.size("postings"))).first()[0] == index.live().agg(F.sum(F.size("terms"))).first()[0]
@@ -353,8 +353,16 @@ def test_ground_truth_needs_no_cross_join(spark):
     assert rows(truth) == sorted((q, p) for q, t in passages for p, text in data.items() if t in text)
     text = plan(truth)
     assert "NestedLoop" not in text and "Cartesian" not in text
-    with pytest.raises(Exception, match="three words"):
-        evaluate.passage_sources(spark.createDataFrame([(1, "two words")], "q long, t string"), documents, "q", "t").collect()
+
+
+def test_ground_truth_of_short_passages(spark, monkeypatch):
+    documents = spark.createDataFrame([("a", "one two three"), ("b", "twofold three"), ("c", None)], "path string, text string")
+    passages = [(1, "two"), (2, "e t"), (3, "one two three"), (4, "none"), (5, ""), (6, None), (7, "two three")]
+    asked = spark.createDataFrame(passages, "q long, t string")
+    want = [(1, "a"), (1, "b"), (2, "a"), (3, "a"), (7, "a")]
+    assert rows(evaluate.passage_sources(asked, documents, "q", "t")) == want
+    monkeypatch.setattr(evaluate, "ANCHORS_IN_ROW", 2)
+    assert rows(evaluate.passage_sources(asked, documents, "q", "t")) == want
 
 
 def test_hit_rates_and_gate(spark):
