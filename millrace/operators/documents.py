@@ -176,9 +176,11 @@ def chunk_documents(parsed: DataFrame, skip_types: tuple[str, ...] = (), engine:
 def prechunked(df: DataFrame, path: Column, contents: Column, source_uri: Column, engine: str = "regex") -> DataFrame:
     """Chunks that arrive ready-made in a VARIANT list, brought to the same six columns and redacted.
 
-    ``contents`` holds objects with chunk_id, chunk_position, chunk_content and chunk_to_embed.
+    ``contents`` holds objects with chunk_id, chunk_position, chunk_content and chunk_to_embed. Documents with an ``error_status``, if there is such a
+    column, give no chunks; neither do items without id, which no index could keep apart.
     """
     mask = pii_engine(engine)
+    df = readable(df) if "error_status" in df.columns else df
     items = df.select(
         path.alias("path"), source_uri.alias("source_uri"), F.explode(contents.try_cast("array<variant>")).alias("c")
     )
@@ -190,4 +192,4 @@ def prechunked(df: DataFrame, path: Column, contents: Column, source_uri: Column
         get("chunk_position", "int").alias("chunk_position"),
         "source_uri",
         "path",
-    )
+    ).filter("chunk_id is not null")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import changes, documents, evaluate, expectations, features, health, orders, search
 from millrace.operators.enrich import enrich_documents
+from millrace.operators.metrics import SALES_METRICS
 from millrace.sources import files
 from millrace.sources.sinks import ChangeLogTable, VersionedTable, append, overwrite, publish_view
 from millrace.streaming.runs import start_each
@@ -108,7 +109,7 @@ def ask(lake: Lake, questions: DataFrame, k: int = 5, method: str = "HYBRID") ->
 
 
 def evaluate_retrieval(lake: Lake, questions: DataFrame, k: int = 5) -> DataFrame:
-    """Hit rates by method for ``query_id, query, expected_source``; a source is a file name.
+    """Hit rates by method for ``query_id, query, expected_source``, as ``eval_questions`` reads them; a source is a file name.
 
     Every question counts, whether its source is in the index or not.
     """
@@ -152,9 +153,34 @@ def drop_generation(lake: Lake, generation: int) -> None:
     path.getFileSystem(lake.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _there(lake: Lake, path: str) -> bool:
+    jvm = lake.spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(lake.spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def verify(lake: Lake) -> DataFrame:
-    """Row counts of all tables; an empty one fails."""
-    tables = {name: lake.read(name) for name in (*ORDER_TABLES, *DOCUMENT_TABLES)}
-    tables["customer_features"] = lake.features.read()
-    tables["index"] = lake.index.read()
-    return health.table_health(tables)
+    """``table_name, row_count, status`` of all tables, and of a question to each product: a metric, a lookup by key and a search.
+
+    What is empty fails, and what is not there is a failed row like any other.
+    """
+    tables: dict[str, DataFrame | None] = {
+        name: lake.read(name) if _there(lake, lake.path(name)) else None for name in (*ORDER_TABLES, *DOCUMENT_TABLES)
+    }
+    tables["customer_features"] = lake.features.read() if lake.features.versions() else None
+    tables["index"] = lake.index.read() if lake.index.base.versions() else None
+    silver, customers = tables["orders_silver"], tables["customer_features"]
+    tables["ask: metric"] = silver if silver is None else SALES_METRICS.query(silver, ["sales"]).filter("total_revenue is not null")
+    tables["ask: lookup"] = None
+    if customers is not None:
+        smallest = customers.agg(F.min("customer_key").alias("customer_key"))
+        tables["ask: lookup"] = features.lookup_json(smallest, customers).filter("features_json is not null")
+    tables["ask: search"] = None
+    if lake.search.keyword.segments():
+        # A chunk must be found by its own words.
+        known = lake.search.terms.filter("n_terms > 0").limit(1).select(F.col("chunk_id").alias("query_id"), "terms")
+        tables["ask: search"] = lake.search.keyword.top_k(known, 1)
+    missing = [(name, 0, "FAIL") for name, df in tables.items() if df is None]
+    found = {name: df for name, df in tables.items() if df is not None}
+    failed = lake.spark.createDataFrame(missing, "table_name string, row_count long, status string")
+    return health.table_health(found).unionByName(failed) if found else failed

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TABLES = (
@@ -28,5 +29,7 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger:
 
 
 def eval_questions(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines with ``query`` and ``expected_source``."""
-    return spark.read.schema(QUESTION_SCHEMA).json(path)
+    """JSON lines with ``query`` and ``expected_source``, and a ``query_id`` from both, so that the same question has the same id in every run."""
+    given = spark.read.schema(QUESTION_SCHEMA).json(path).distinct()
+    name = F.to_json(F.struct("query", "expected_source"))
+    return given.select(F.md5(name).alias("query_id"), "query", "expected_source")

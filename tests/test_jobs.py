@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans import jobs
 from millrace.session import new_path
-from millrace.sources.tables import table
+from millrace.sources.tables import eval_questions, table
 
 AT = datetime(2024, 1, 1)
 PAGES = {
@@ -42,7 +42,11 @@ def lake(spark, tmp_path_factory, small):
 
 def test_tables_and_checks(lake):
     health = {r.table_name: r.row_count for r in jobs.verify(lake).collect()}
-    assert set(health) == {*jobs.ORDER_TABLES, *jobs.DOCUMENT_TABLES, "customer_features", "index"}
+    asks = {"ask: metric", "ask: lookup", "ask: search"}
+    assert set(health) == {*jobs.ORDER_TABLES, *jobs.DOCUMENT_TABLES, "customer_features", "index", *asks}
+    assert {r.status for r in jobs.verify(lake).collect()} == {"PASS"} and {health[a] for a in asks} == {1}
+    nothing = jobs.Lake(lake.spark, new_path(lake.spark, "nothing"))
+    assert {(r.table_name, r.row_count, r.status) for r in jobs.verify(nothing).collect()} == {(name, 0, "FAIL") for name in health}
     assert (health["docs_bronze"], health["docs_parsed"], health["docs_enriched"], health["chunks"]) == (5, 5, 5, 5)
     assert lake.read("chunks").filter(F.col("chunk_to_embed").rlike("@|7654")).count() == 0
     jobs.publish_quality(lake)
@@ -68,6 +72,9 @@ def test_questions_and_hit_rates(lake, spark):
         jobs.ask(lake, questions, method="GUESS")
     # A question whose source is not in the index was asked all the same, and fails.
     lost = questions.union(spark.createDataFrame([(4, "how deep is the lake", "lake.html")], questions.schema))
+    path = new_path(spark, "eval")
+    lost.drop("query_id").write.json(path)
+    lost = eval_questions(spark, path)
     measured = {r.method: (r.hits, r.questions) for r in jobs.evaluate_retrieval(lake, lost).collect()}
     assert measured["HYBRID"] == (3, 4)
 

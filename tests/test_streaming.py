@@ -53,7 +53,7 @@ def test_documents_from_files_to_chunks_and_terms(spark, tmp_path):
     written = run_to_end(chunks, *paths(spark))
     assert written.count() == 6 and written.filter(F.col("path").endswith("cut.html")).count() == 1
     terms = run_to_end(search.index_terms(chunks), *paths(spark))
-    assert terms.filter("n_terms > 5").count() == 5
+    assert terms.filter("n_terms > 5").count() == 6
 
 
 def test_forgotten_files_stay_out(spark, tmp_path):
@@ -132,4 +132,7 @@ def test_eval_questions(spark, tmp_path):
     file = tmp_path / "eval.jsonl"
     items = [{"query": "what?", "expected_source": "a.pdf"}, {"query": "why?", "expected_source": "b.pdf"}]
     file.write_text("\n".join(json.dumps(i) for i in items) + "\n")
-    assert rows(eval_questions(spark, str(file))) == [("what?", "a.pdf"), ("why?", "b.pdf")]
+    read = eval_questions(spark, str(file))
+    assert read.columns == ["query_id", "query", "expected_source"]
+    assert rows(read.drop("query_id")) == [("what?", "a.pdf"), ("why?", "b.pdf")]
+    assert read.select("query_id").distinct().count() == 2
