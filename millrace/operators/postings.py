@@ -22,9 +22,11 @@ BLOCK = 256
 # So many names go to the scan as a filter; more are joined.
 PUSHED = 2_000
 # A question's rarest terms are read first, until they have about so many postings for each hit that is asked for.
-FIRST_READ = 20
+FIRST_READ = 400
 # Scores are rounded to six places; a bound that is this much short of the bar cannot be rounded up to it.
 SLACK = 1e-5
+# Terms are left out whose bounds together stay under this share of the bar; anything up to 1 gives the same answers.
+LEFT_OUT = 0.3
 ROW_GROUP = 16 << 20
 # A row's number is its segment, shifted by so many bits, and its place in the segment: 8,000 segments of 100,000 tasks each.
 PLACE_BITS = 50
@@ -254,17 +256,24 @@ class KeywordIndex:
         )
         bars = written(bars, "bars")
         told = weights.join(bars, "query_id", "left").withColumn("bar", F.coalesce("bar", F.lit(0.0)))
-        rest = told.filter("reach < bar").groupBy("query_id").agg(F.max("reach").alias("rest"))
-        needed = told.filter("reach >= bar").select("query_id", "term", "idf", F.col("total") - F.col("most") + SLACK, "bar")
+        # The fewer terms are left out, the nearer the sums of the others are to the scores.
+        out = F.col("reach") < F.col("bar") * LEFT_OUT
+        rest = told.filter(out).groupBy("query_id").agg(F.max("reach").alias("rest"))
+        needed = told.filter(~out).select("query_id", "term", "idf", F.col("total") - F.col("most") + SLACK, "bar")
         needed = needed.toDF("query_id", "term", "idf", "others", "bar")
-        parts = written(found(needed, F.col("idf") * bound + F.col("others") >= F.col("bar")), "parts")
-        # These sums are nearly whole, so their k-th best is a far better bar, and only the terms that were left out are still open.
+        def open_yet(sums: DataFrame, bar: DataFrame) -> DataFrame:
+            """Those whose sum and the terms that were left out could reach the question's bar, if it has one."""
+            limits = bar.join(rest, "query_id", "left").select("query_id", (F.col("bar") - F.coalesce("rest", F.lit(0.0))).alias("least"))
+            limits = F.broadcast(limits) if small else limits
+            return sums.join(limits, "query_id", "left").filter("least is null or part >= least").drop("least")
+
+        parts = found(needed, F.col("idf") * bound + F.col("others") >= F.col("bar"))
+        parts = written(open_yet(parts, bars), "parts")
+        # These sums are nearly whole, so their k-th best is a far better bar.
         better = rank_hits(parts.withColumnRenamed("part", "score"), k, "no").groupBy("query_id").agg(
             F.when(F.count(F.lit(1)) == k, F.min("score") - SLACK).alias("bar")
         )
-        limits = better.join(rest, "query_id", "left").select("query_id", (F.col("bar") - F.coalesce("rest", F.lit(0.0))).alias("least"))
-        limits = F.broadcast(limits) if small else limits
-        candidates = parts.join(limits, "query_id", "left").filter("least is null or part >= least").select("query_id", "no")
+        candidates = open_yet(parts, better).select("query_id", "no")
         candidates = written(candidates, "candidates")
         few = [r[0] for r in candidates.select("no").limit(PUSHED + 1).collect()]
         forward = self._read("forward").select("no", self.id_col, "terms", "n_terms")
