@@ -1,5 +1,8 @@
 import itertools
+import random
 import re
+import time
+import tracemalloc
 
 import pytest
 from hypothesis import given, settings
@@ -25,6 +28,11 @@ def brute(text):
     return out + [("phone", *m.span()) for m in pii.PHONE.finditer(text) if 8 <= len(re.sub(r"[^0-9]", "", m[0])) <= 15]
 
 
+@pytest.fixture(scope="module")
+def model(spark, small):
+    return pii.learn_field(spark.read.parquet(f"{small}/../sf0.01/documents.parquet"), sample=200)
+
+
 @settings(max_examples=500, deadline=None)
 @given(st.text("ab.@-+ 0124") | st.text("1234.") | st.text("@a.b-") | st.text())
 def test_base_spans(text):
@@ -41,9 +49,57 @@ def test_long_texts_take_linear_time():
         pii.spans_of(text, pii.Field())
 
 
-@pytest.fixture(scope="module")
-def model(spark, small):
-    return pii.learn_field(spark.read.parquet(f"{small}/../sf0.01/documents.parquet"), sample=200)
+def number_table(size):
+    rnd = random.Random(7)
+    return "".join(f"{rnd.randint(0, 99)} {rnd.randint(0, 999)} " for _ in range(size // 6))
+
+
+def test_number_tables_take_linear_time_with_a_learned_field(model):
+    taken = []
+    for size in (15_000, 60_000):
+        text, began = number_table(size), time.process_time()
+        pii.spans_of(text, model)
+        taken.append(time.process_time() - began)
+    assert taken[1] < 8 * taken[0]
+
+
+def test_number_tables_take_little_memory(model):
+    """A megabyte of digits, spaces and dots in one stretch; with the lists of all candidates it took some 10 GB."""
+    text = "12 345 6.7 " * 95_000
+    scores = pii.scorer(model)
+    pii.spans_of(text[:20_000], model, scores)
+    tracemalloc.start()
+    pii.spans_of(text, model, scores)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60_000_000
+
+
+def test_many_spans_beside_many(model):
+    """As many base spans as added ones, in time that grows with their number."""
+    line = "call (627) 555-1305 or +1 (826) 555-4081 190.137.2.14 of ten\n"
+    base, added = pii.spans_of(line * 4_000, model)
+    alone = pii.spans_of(line, model)
+    assert alone[0] == [("ip", 41, 53)] and len(alone[1]) == 2  # the long run of digits after the plus sign is no phone number
+    for got, one in zip((base, added), alone, strict=True):
+        assert got == [(k, a + n * len(line), b + n * len(line)) for n in range(4_000) for k, a, b in one]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["12 ", "345", "+1 ", "(555) ", ".", "a@b.c", " ", "\n", "word ", "4111", "-"]), max_size=60), st.integers(13, 40))
+def test_what_is_given_out_early_is_final(model, parts, held):
+    text = "".join(parts)
+    whole = [list(pii.decode(text, t, pii.scorer(model))) for t in pii.stretches(text)]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pii, "HELD", held)
+        assert [list(pii.decode(text, t, pii.scorer(model))) for t in pii.stretches(text)] == whole
+
+
+def test_rare_kinds_are_learned(spark):
+    """One text in a thousand with an address, the others with other numbers."""
+    rows = [(f"page {n} of {n * 7}",) for n in range(2_000)] + [(f"from 10.2.{n}.1 to me",) for n in range(2)]
+    got = pii.learn_field(spark.createDataFrame(rows, "text string"), sample=50)
+    assert got.weights.get("ip parts=True", 0) > 0
 
 
 def test_adds_other_ways_of_writing(model):
@@ -66,7 +122,7 @@ def test_spans_added_are_few_and_beside_the_base(model, texts):
 def test_decoding_is_the_best_segmentation(model):
     """Against all segmentations of a short stretch."""
     text = "x +1 (826) 555 1.2.3.4 y"
-    for tokens in pii.stretches(text):
+    for tokens in map(list, pii.stretches(text)):
         found = pii.candidates(text, tokens)
         scores = {(i, j, k): model.score(n) for i, j, k, n in found}
 
@@ -75,7 +131,7 @@ def test_decoding_is_the_best_segmentation(model):
                 return 0.0
             return max([best(at + 1), *(s + best(j) for (i, j, _), s in scores.items() if i == at)])
 
-        got = pii.decode(text, tokens, model)
+        got = pii.decode(text, tokens, pii.scorer(model))
         starts, ends = {t[0]: i for i, t in enumerate(tokens)}, {t[1]: i + 1 for i, t in enumerate(tokens)}
         assert abs(sum(scores[starts[a], ends[b], k] for k, a, b in got) - best(0)) < 1e-9
 
