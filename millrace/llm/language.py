@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +16,7 @@ SAMPLES, EXCERPT = 64, 1_000
 SEGMENT = 2_000
 NARROW = 0.02
 LEVEL = 5
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 @dataclass(frozen=True)
@@ -27,8 +27,9 @@ class Dictionaries:
 
 
 def letters(text: str) -> str:
-    """Lower-case words of letters alone, one blank between them. What is no letter says nothing about the language."""
-    return NOT_LETTERS.sub(" ", text.lower()).strip()
+    """Lower-case words of letters and the marks on them, one blank between. Numbers such as ² or Ⅷ are no letters; what is no letter says
+    nothing about the language."""
+    return " ".join(WORD.findall(text.lower()))
 
 
 def learn_dictionaries(
@@ -97,7 +98,7 @@ def predict_language(docs: DataFrame, model: Dictionaries, doc_id: str = "doc_id
 
     ``rejected`` marks a margin under ``NARROW``, where callers should not trust the language. A text that is null, or has no
     letter, is ``und`` with a score of 0 and rejected, and so is every text when no language was learned. Repeated rows come
-    back repeated, an empty table gives no rows, and other columns are never read.
+    back repeated, an empty table gives no rows, and other columns are never read. A very long text is compressed whole, a segment at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
