@@ -11,7 +11,7 @@ from millrace.operators import changes, documents, evaluate, expectations, featu
 from millrace.operators.enrich import enrich_documents
 from millrace.operators.metrics import SALES_METRICS
 from millrace.sources import files
-from millrace.sources.sinks import ChangeLogTable, VersionedTable, append, overwrite, publish_view
+from millrace.sources.sinks import ChangeLogTable, VersionedTable, append, leftover_files, overwrite, publish_view, remove_folder
 from millrace.streaming.runs import start_each
 
 ORDER_TABLES = ("orders_bronze", "orders_silver", "daily_sales", "quality_log")
@@ -32,7 +32,12 @@ class Lake:
         self.generations = VersionedTable(spark, f"{self.root}/generations", "generation")
         self.features = VersionedTable(spark, f"{self.root}/customer_features", "customer_key")
         self.index = ChangeLogTable(spark, f"{self.root}/index", "chunk_id")
-        self.search = search.Index(spark, f"{self.root}/search")
+
+    @property
+    def search(self) -> search.Index:
+        """The search index of the present base of the chunk index."""
+        known = self.index.base.versions()
+        return search.Index(self.spark, f"{self.root}/search/base={known[-1] if known else 0}")
 
     def generation(self) -> int:
         known = self.generations.versions()
@@ -124,7 +129,7 @@ def evaluate_retrieval(lake: Lake, questions: DataFrame, k: int = 5) -> DataFram
 def forget_documents(lake: Lake, paths: DataFrame, at: datetime) -> DataFrame:
     """Delete documents from every table and the index, and report what is left of them, which must be nothing.
 
-    The next generation counts only after the report is clean. :func:`drop_generation` then removes the old files.
+    The next generation counts only after the report is clean. Earlier files still hold the documents until :func:`purge` removes them.
     """
     wanted = paths.select("path").distinct().withColumn("forgotten_at", F.lit(at).cast("timestamp_ntz"))
     now, following = lake.generation(), lake.generation() + 1
@@ -148,9 +153,36 @@ def drop_generation(lake: Lake, generation: int) -> None:
     """Remove the files of a generation that is no longer in use, and with them the bytes of forgotten documents."""
     if generation >= lake.generation():
         raise ValueError(f"generation {generation} is in use")
-    jvm = lake.spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{lake.root}/documents/g={generation}")
-    path.getFileSystem(lake.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove_folder(lake.spark, f"{lake.root}/documents/g={generation}")
+
+
+def proof_of_deletion(lake: Lake, paths: DataFrame, chunk_ids: DataFrame) -> DataFrame:
+    """``file, key_column, rows`` of the lake's files that hold rows of documents or chunks; none when they are gone.
+
+    The list of what had to be forgotten keeps the names, so that the files are not taken in again, and isn't counted.
+    """
+    held = leftover_files(lake.spark, lake.root, {"path": paths, "chunk_id": chunk_ids})
+    return held.filter(~F.col("file").contains(f"{lake.path('forgotten')}/"))
+
+
+def purge(lake: Lake, chunk_ids: DataFrame | None = None) -> None:
+    """Remove the bytes of all forgotten documents: earlier generations, the chunk index's earlier bases and logs, and the search
+    indexes that go with them. New ones are written first. Fails, when a file is left that holds a forgotten path or one of ``chunk_ids``.
+
+    Run it when nobody reads an earlier generation any more. What it did is done again by a second run after a failure.
+    Other folders, such as the session's working folder, can be looked through with :func:`leftover_files`.
+    """
+    base = lake.index.compact()
+    sync_index(lake)
+    for old in range(lake.generation()):
+        drop_generation(lake, old)
+    lake.index.drop_before(base)
+    for old in range(base):
+        remove_folder(lake.spark, f"{lake.root}/search/base={old}")
+    nothing = lake.spark.createDataFrame([], "chunk_id string")
+    left = proof_of_deletion(lake, lake.forgotten().select("path"), nothing if chunk_ids is None else chunk_ids).limit(1).collect()
+    if left:
+        raise RuntimeError(f"{left[0].file} still holds {left[0].rows} rows of what was forgotten")
 
 
 def _there(lake: Lake, path: str) -> bool:

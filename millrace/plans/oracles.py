@@ -331,10 +331,18 @@ FORGET = "forgotten AS (SELECT DISTINCT 'documents/' || doc_id AS path FROM labe
 
 def _forget_row(name: str, source: str) -> str:
     return f"""SELECT '{name}' AS table_name, count(*) AS rows_before,
-  count(*) FILTER (WHERE path IN (SELECT path FROM forgotten)) AS rows_removed, CAST(0 AS BIGINT) AS rows_leftover
+  count(*) FILTER (WHERE path IN (SELECT path FROM forgotten)) AS rows_removed,
+  (SELECT count(*) FROM (SELECT path FROM {source} EXCEPT SELECT path FROM forgotten) SEMI JOIN forgotten USING (path)) AS rows_leftover
 FROM {source}"""
 
 
+def _held(state: str, source: str) -> str:
+    return f"""SELECT '{state}' AS state, count(*) FILTER (WHERE path IN (SELECT path FROM forgotten)) AS rows_by_path,
+  count(*) FILTER (WHERE chunk_id IN (SELECT chunk_id FROM gone)) AS rows_by_chunk_id,
+  count(*) FILTER (WHERE chunk_to_embed IN (SELECT chunk_to_embed FROM gone)) AS rows_by_text_hash
+FROM ({source})"""
+
+
 ORACLES = {
     "orders_bronze": "SELECT *, 'tpch' AS source_system FROM orders",
     "orders_silver": f"""WITH {DIRTY}, {_silver("dirty")}
@@ -441,6 +449,12 @@ SELECT (SELECT count(*) FROM chunks) AS chunk_count, (SELECT count(DISTINCT o_cu
     "forget_documents": f"""WITH {DOC_CHUNKS}, {FORGET}
 {_forget_row('parsed', 'documents_v1')} UNION ALL {_forget_row('enriched', "documents_v1 WHERE trim(text) <> ''")}
 UNION ALL {_forget_row('chunks', 'chunks')}""",
+    # After the sync the log holds the deletions, with their ids alone.
+    "forget_proof": f"""WITH {DOC_CHUNKS}, {FORGET}, gone AS (SELECT * FROM chunks SEMI JOIN forgotten USING (path)),
+kept AS (SELECT * FROM chunks ANTI JOIN forgotten USING (path))
+{_held('indexed', 'FROM chunks')} UNION ALL
+{_held('synced', 'SELECT path, chunk_id, chunk_to_embed FROM chunks UNION ALL SELECT NULL, chunk_id, NULL FROM gone')} UNION ALL
+{_held('purged', 'FROM kept')}""",
     "forget_search": f"""WITH {DOC_CHUNKS.replace("chunks AS (", "all_chunks AS (")}, {FORGET},
 chunks AS (SELECT * FROM all_chunks WHERE path NOT IN (SELECT path FROM forgotten)), {TERMS}, {BM25}
 SELECT query_id, chunk_id, path, rank FROM bm_rank JOIN tok USING (chunk_id) WHERE rank <= 5""",

@@ -19,6 +19,7 @@ from millrace.plans import derived
 from millrace.session import new_path, written
 from millrace.sizing import lookup_join, spread
 from millrace.sources import files
+from millrace.sources.sinks import ChangeLogTable, leftover_files
 from millrace.sources.tables import TABLES, table, table_stream
 from millrace.streaming.runs import run_to_end
 
@@ -442,7 +443,33 @@ def forget_documents(spark: SparkSession, folder: str) -> DataFrame:
         "chunks": (_doc_chunks(spark, folder).select("path", "chunk_id"), "path"),
     }
     forgotten = _forgotten(spark, folder)
-    return changes.forget_report(before, changes.forget(before, forgotten), forgotten)
+    # Both states are written, so that what is counted is what the files hold.
+    before = {name: (written(df, f"before-{name}"), key) for name, (df, key) in before.items()}
+    after = {name: written(df, f"after-{name}") for name, df in changes.forget(before, forgotten).items()}
+    return changes.forget_report(before, after, forgotten)
+
+
+@query
+def forget_proof(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks are indexed, documents forgotten and old files removed. By state: rows that files below the index hold of forgotten
+    documents, and of chunks with the same text as one of theirs under another name, which stay."""
+    index = ChangeLogTable(spark, new_path(spark, "proof"), "chunk_id")
+    chunks = written(_doc_chunks(spark, folder).select("chunk_id", "path", F.sha2("chunk_to_embed", 256).alias("text_hash")), "chunks")
+    index.sync(chunks)
+    forgotten = written(_forgotten(spark, folder), "forgotten")
+    gone = written(lookup_join(chunks, forgotten, ["path"], "left_semi", F.col("chunk_id")), "gone")
+    keys = {"path": forgotten, "chunk_id": gone.select("chunk_id"), "text_hash": gone.select("text_hash")}
+
+    def state(name: str) -> DataFrame:
+        held = leftover_files(spark, index.root, keys).groupBy("key_column").agg(F.sum("rows").alias("rows"))
+        counts = [F.coalesce(F.sum(F.when(F.col("key_column") == key, F.col("rows"))), F.lit(0)).alias(f"rows_by_{key}") for key in keys]
+        return written(held.agg(*counts).select(F.lit(name).alias("state"), "*"), f"state-{name}")
+
+    states = [state("indexed")]
+    index.sync(changes.without(chunks, "path", forgotten))
+    states.append(state("synced"))
+    index.drop_before(index.compact())
+    return states[0].unionByName(states[1]).unionByName(state("purged"))
 
 
 @query

@@ -2,12 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from millrace.operators.changes import apply_changes, change_rows, diff, latest_changes
 from millrace.operators.features import require_unique, upsert
+from millrace.sizing import lookup_join
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all that is in it, on whatever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def leftover_files(spark: SparkSession, folder: str, keys: Mapping[str, DataFrame]) -> DataFrame:
+    """``file, key_column, rows`` of every Parquet file below ``folder`` that still holds a row with one of the given keys.
+
+    ``keys`` gives for a column the values that must be gone, in the only column of a table. All files are read as they lie, whatever
+    table, version or log they belong to and whether readers still see them; of each only the key columns. A file without
+    such a column holds none. Files of one column name must agree in its type, which is that of the keys.
+    """
+    found = []
+    for name, df in keys.items():
+        wanted = df.select(F.col(df.columns[0]).alias(name)).filter(F.col(name).isNotNull()).distinct()
+        reader = spark.read.schema(wanted.schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        rows = reader.parquet(folder).select(name, F.col("_metadata.file_path").alias("file")).filter(F.col(name).isNotNull())
+        # Rows are counted by file and key first, so that a key in many rows is few rows of the join.
+        counted = rows.groupBy("file", name).agg(F.count(F.lit(1)).alias("n"))
+        held = lookup_join(counted, wanted, [name], "left_semi", F.col("file"))
+        found.append(held.groupBy("file", F.lit(name).alias("key_column")).agg(F.sum("n").alias("rows")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -70,9 +99,9 @@ class ChangeLogTable:
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str):
-        self.spark, self.key = spark, key
-        self.base = VersionedTable(spark, f"{path.rstrip('/')}/base", key)
-        self.log_root = f"{path.rstrip('/')}/log"
+        self.spark, self.key, self.root = spark, key, path.rstrip("/")
+        self.base = VersionedTable(spark, f"{self.root}/base", key)
+        self.log_root = f"{self.root}/log"
 
     def _log_path(self) -> str:
         return f"{self.log_root}/base={self.base.versions()[-1]}"
@@ -114,6 +143,13 @@ class ChangeLogTable:
     def compact(self) -> int:
         return self.base.replace(self.read())
 
+    def drop_before(self, version: int) -> None:
+        """Delete the files of all bases before ``version``, and their logs. Who still reads them fails."""
+        for old in self.base.versions():
+            if old < version:
+                remove_folder(self.spark, f"{self.log_root}/base={old}")
+                remove_folder(self.spark, f"{self.base.path}/v={old}")
+
 
 def publish_view(df: DataFrame, name: str) -> None:
     """A view that the whole session can query."""

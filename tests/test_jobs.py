@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -82,6 +83,8 @@ def test_questions_and_hit_rates(lake, spark):
 def test_forgetting_reaches_every_table_and_lasts(lake, spark):
     gone = lake.read("docs_bronze").filter(F.col("path").endswith("/letter.html")).select("path")
     path = gone.first().path
+    gone_paths = spark.createDataFrame([(path,)], "path string")
+    ids = spark.createDataFrame(lake.read("chunks").filter(F.col("path") == path).select("chunk_id").collect(), "chunk_id string")
     report = {r.table_name: (r.rows_before, r.rows_removed, r.rows_leftover) for r in jobs.forget_documents(lake, gone, AT).collect()}
     assert report == {"docs_bronze": (5, 1, 0), "docs_parsed": (5, 1, 0), "docs_enriched": (5, 1, 0), "chunks": (5, 1, 0)}
     for df in [*(lake.read(name) for name in jobs.DOCUMENT_TABLES), lake.index.read()]:
@@ -90,7 +93,14 @@ def test_forgetting_reaches_every_table_and_lasts(lake, spark):
     assert jobs.ask(lake, question, k=10).filter(F.col("source_uri").contains("letter")).count() == 0
     with pytest.raises(ValueError, match="in use"):
         jobs.drop_generation(lake, lake.generation())
-    jobs.drop_generation(lake, 0)
+    # Readers no longer see the document, but earlier files hold it: bronze, parsed, enriched, chunks, index and search.
+    held = {r.file.split(lake.root)[1].split("/")[1] for r in jobs.proof_of_deletion(lake, gone_paths, ids).collect()}
+    assert held == {"documents", "index", "search"}
+    jobs.purge(lake, ids)
+    assert jobs.proof_of_deletion(lake, gone_paths, ids).count() == 0
+    assert not [f for f in Path(lake.root).rglob("*.parquet") if b"umbrella" in f.read_bytes()]
+    assert jobs.ask(lake, question, k=10).count() > 0 and lake.index.read().count() == 4
+    jobs.purge(lake, ids)
     # The file comes in again, changed and under the same name; another one is new.
     (lake.landing / "letter.html").write_text(page("About letter", PAGES["letter"] + " Again."))
     (lake.landing / "more.html").write_text(page("More", "One more page that is long enough to become a chunk of its own."))
