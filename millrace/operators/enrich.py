@@ -6,9 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from millrace.functions.text import let, tokens
+from millrace.functions.text import let, term_counts, tokens
 from millrace.operators.documents import readable
+from millrace.session import written
+from millrace.sizing import lookup_join
 
 # Words that speak for each of the document types; the first type wins a tie.
 SUPPORT_TYPES = {
@@ -42,6 +45,29 @@ def classify(text: Column, keywords: Mapping[str, Sequence[str]]) -> Column:
     return let(winner, lambda w: F.when(w["rank"] < 0, w["label"]))
 
 
+def classify_by_rules(docs: DataFrame, rules: DataFrame, text: str = "text", label: str = "doc_type") -> DataFrame:
+    """``docs`` with the label that speaks most for each text, by a table of rules ``term, label, weight`` of any size.
+
+    A term counts as often as it occurs, with its whole-numbered weight; several rows for a term and label add up. Ties go to the first label
+    in order, and a text without any known term (or a null one) gets NULL. A label can win with a negative sum, if it alone matches.
+
+    Sums are made by digest of the text, and combined before the shuffle. A text that occurs often has its sums multiplied, all by the same number, so
+    the verdict is that of a single one. Texts are not shuffled while the verdicts are few, and spread by their content beyond that.
+    """
+    if not isinstance(rules.schema["weight"].dataType, IntegralType):
+        raise ValueError("weights must be whole numbers, so that sums and ties don't depend on their order")
+    known = rules.groupBy("term", "label").agg(F.sum("weight").alias("weight")).filter("term is not null and label is not null")
+    digest = F.sha2(F.col(text), 256)
+    said = docs.select(digest.alias("_digest"), F.explode(term_counts(tokens(F.col(text)))).alias("_t"))
+    said = said.select("_digest", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf"))
+    sums = lookup_join(said, known, ["term"], spread_by=F.col("_digest")).groupBy("_digest", "label").agg(F.sum(F.col("weight") * F.col("tf")).alias("sum"))
+    best = sums.groupBy("_digest").agg(F.min(F.struct((-F.col("sum")).alias("rank"), "label"))["label"].alias("_label"))
+    names = [c for c in docs.columns if c != label]
+    marked = docs.select(F.struct(*names).alias("_row"), digest.alias("_digest"))
+    found = lookup_join(marked, written(best, "verdicts"), ["_digest"], "left")
+    return found.select("_row.*", F.col("_label").alias(label))
+
+
 def extract(text: Column, patterns: Mapping[str, str]) -> dict[str, Column]:
     """The first match of each pattern's group; NULL when there is none."""
     return {name: F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")) for name, pattern in patterns.items()}

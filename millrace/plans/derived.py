@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import tokens
+from millrace.sizing import lookup_join
+
 # Orders before this day are the old version of the features.
 FEATURE_CUT = "1998-01-01"
 # Events are moved back so that they fall among the order dates.
@@ -36,6 +39,16 @@ def second_documents(documents: DataFrame) -> DataFrame:
     )
 
 
+def language_rules(documents: DataFrame, least: int = 3) -> DataFrame:
+    """``term, label, weight``: the terms of at least ``least`` documents of a language, weighted by their share of its documents in thousandths."""
+    labelled = documents.filter("lang is not null")
+    terms = labelled.select("lang", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
+    counted = terms.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
+    totals = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
+    weight = F.expr("1000 * n div total")
+    return lookup_join(counted, totals, ["lang"]).select("term", F.col("lang").alias("label"), weight.alias("weight"))
+
+
 def doc_path(doc_id: str | Column = "doc_id") -> Column:
     return F.concat(F.lit("documents/"), F.col(doc_id) if isinstance(doc_id, str) else doc_id)
 

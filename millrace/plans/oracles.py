@@ -455,6 +455,14 @@ kept AS (SELECT * FROM chunks ANTI JOIN forgotten USING (path))
 {_held('indexed', 'FROM chunks')} UNION ALL
 {_held('synced', 'SELECT path, chunk_id, chunk_to_embed FROM chunks UNION ALL SELECT NULL, chunk_id, NULL FROM gone')} UNION ALL
 {_held('purged', 'FROM kept')}""",
+    "docs_classified": f"""WITH said AS (
+  SELECT doc_id, lang, unnest(ts) AS term FROM (SELECT doc_id, lang, {_tokens("text")} AS ts FROM documents)),
+counted AS (SELECT lang, term, count(DISTINCT doc_id) AS n FROM said WHERE lang IS NOT NULL GROUP BY ALL HAVING count(DISTINCT doc_id) >= 3),
+rules AS (SELECT c.term, lang AS label, 1000 * n // total AS weight
+          FROM counted c JOIN (SELECT lang, count(*) AS total FROM documents GROUP BY lang) USING (lang)),
+sums AS (SELECT doc_id, label, sum(weight) AS s FROM said JOIN rules USING (term) GROUP BY ALL),
+best AS (SELECT doc_id, label FROM sums QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, label) = 1)
+SELECT 'documents/' || doc_id AS path, lang, label AS doc_type FROM documents LEFT JOIN best USING (doc_id)""",
     "forget_search": f"""WITH {DOC_CHUNKS.replace("chunks AS (", "all_chunks AS (")}, {FORGET},
 chunks AS (SELECT * FROM all_chunks WHERE path NOT IN (SELECT path FROM forgotten)), {TERMS}, {BM25}
 SELECT query_id, chunk_id, path, rank FROM bm_rank JOIN tok USING (chunk_id) WHERE rank <= 5""",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from millrace.functions.nested import walk_any_depth, walk_elements
 from millrace.functions.text import mask_entities, redact
 from millrace.operators import changes, documents as docs, evaluate, expectations, features, health, orders, search
-from millrace.operators.enrich import enrich_documents
+from millrace.operators.enrich import classify_by_rules, enrich_documents
 from millrace.operators.metrics import SALES_METRICS
 from millrace.operators.postings import KeywordIndex
 from millrace.plans import derived
@@ -280,6 +280,14 @@ def docs_enriched(spark: SparkSession, folder: str) -> DataFrame:
     return enrich_documents(_parsed_documents(spark, folder), derived.LANGUAGE_WORDS, derived.DOCUMENT_FIELDS)
 
 
+@query
+def docs_classified(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's likeliest language by a table of weighted terms, which is made of all documents."""
+    documents = _documents(spark, folder).select(derived.doc_path().alias("path"), "lang", "text")
+    rules = written(derived.language_rules(documents), "rules")
+    return classify_by_rules(documents, rules).select("path", "lang", "doc_type")
+
+
 # --- index and search --------------------------------------------------------------------------------------------
 
 
