@@ -13,7 +13,8 @@ from millrace.operators.documents import readable
 from millrace.session import written
 from millrace.sizing import lookup_join
 
-# Words that speak for each of the document types; the first type wins a tie.
+# The names of the types and fields. The words and patterns are examples; other rules come as arguments or as a table.
+# The first type wins a tie.
 SUPPORT_TYPES = {
     "return_policy": ["return", "returns", "returned", "returnable", "refund", "refunds", "exchange", "sale"],
     "faq": ["q", "a", "faq", "question", "questions", "answer", "answers", "shipping"],
