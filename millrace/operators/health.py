@@ -42,7 +42,11 @@ def recent_failures(log: DataFrame, as_of: Column, hours: int = 24) -> DataFrame
 
 
 def parse_error_count(parsed: DataFrame) -> DataFrame:
-    return parsed.agg(F.count_if(F.col("error_status").isNotNull()).alias("parse_errors"))
+    """How many documents could not be parsed whole: those with an error, and those that were cut off and kept with a ``warning``."""
+    failed = F.col("error_status").isNotNull()
+    if "warning" in parsed.columns:
+        failed = failed | F.col("warning").isNotNull()
+    return parsed.agg(F.count_if(failed).alias("parse_errors"))
 
 
 def freshness(log: DataFrame, time: str, as_of: Column, by: tuple[str, ...] = ()) -> DataFrame:

@@ -378,7 +378,9 @@ asked AS (SELECT event_id, user_id AS customer_key, ts - INTERVAL {LABEL_SHIFT_Y
 SELECT event_id, a.customer_key, label_time, feature_time, day_orders, day_spent
 FROM asked a ASOF LEFT JOIN history h ON a.customer_key = h.customer_key AND a.label_time >= h.feature_time""",
     "docs_binary_ingest": "SELECT doc_id, length(text) AS n_chars, md5(text) AS digest FROM documents",
-    "parse_errors": f"WITH {ELEMENTS} SELECT count(*) FILTER (WHERE error_status IS NOT NULL) AS parse_errors FROM visible",
+    # Pages that are empty, and those that were cut off.
+    "parse_errors": f"""SELECT count(*) FILTER (WHERE trim(coalesce(html, ''), {WS}) = ''
+  OR NOT ends_with(lower(trim(html, {WS})), '</html>')) AS parse_errors FROM pages""",
     "doc_elements": f"WITH {ELEMENTS} SELECT path, position, page, type, text FROM elements",
     "element_walk": f"""WITH {ELEMENTS},
 counts AS (SELECT path, (SELECT count(*) FROM elements e WHERE e.path = m.path) AS n FROM visible m)
