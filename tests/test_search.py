@@ -206,6 +206,38 @@ def test_kept_index_answers_like_a_scan(spark, larger, monkeypatch, k, block, pu
     assert all(s == pytest.approx(t, abs=2e-6) for q in want for (_, s), (_, t) in zip(got[q], want[q]))
 
 
+def test_many_questions_are_answered_by_one_scan(spark, larger, monkeypatch):
+    index = _kept(spark, larger.filter("chunk_id <> 'c00003'"))
+    index.sync(larger.filter("chunk_id <> 'c00004'"))
+    want = answers(index.top_k(_asked(spark, 60), 5))
+    asked = _asked(spark, 200)
+    seen, keep = [], postings.written
+    monkeypatch.setattr(postings, "written", lambda df, label: (seen.append(label), keep(df, label))[1])
+    got = answers(index.top_k(asked, 5))
+    assert "parts" not in seen and {q: got[q] for q in want} == want
+    seen.clear()
+    monkeypatch.setattr(postings, "MOST_SCANS", 0)
+    by_postings = answers(index.top_k(asked, 5))
+    assert "parts" in seen and {q: [i for i, _ in h] for q, h in by_postings.items()} == {q: [i for i, _ in h] for q, h in got.items()}
+    # Ids that are not unique are left to the postings.
+    monkeypatch.setattr(postings, "MOST_SCANS", 16)
+    seen.clear()
+    _kept(spark, larger.union(larger)).top_k(asked, 5)
+    assert "parts" in seen
+
+
+def test_postings_are_brought_together_before_the_shuffle(spark, larger):
+    rows_ = search.index_terms(larger).filter("n_terms > 0").withColumn("no", F.monotonically_increasing_id())
+    schema = KeywordIndex(spark, "unused")._schema("blocks")
+    for most in (50, 1_000_000):
+        blocks = rows_.coalesce(1).select("no", F.col("n_terms").cast("int"), "terms").mapInArrow(scoring.inverter(16, most), schema)
+        got = blocks.select("term", F.size("postings").alias("n"), "chunks", "max_tf", "min_terms", F.inline("postings"))
+        want = rows_.select(F.explode("terms").alias("t"), "no", "n_terms").select("t.term", "no", "t.tf", F.col("n_terms").cast("int"))
+        assert rows(got.select("term", "no", "tf", "n_terms")) == rows(want)
+        assert got.filter("n > 16 or n <> chunks or tf > max_tf or n_terms < min_terms").count() == 0
+    assert blocks.count() < want.count() / 8
+
+
 def test_kept_index_skips_blocks_and_pushes_terms(spark, larger, monkeypatch):
     monkeypatch.setattr(postings, "BLOCK", 8)
     index = _kept(spark, larger)
