@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.jaccard import WORD, _hashes, _signed
 from millrace.session import written
-from millrace.sizing import lookup_join
+from millrace.sizing import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join
 
 PASSAGE = 50  # words that a reported passage has at least
 GRAM = 16
@@ -233,7 +233,7 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     passages = matched.filter("hash is not null")
     several = passages.groupBy("hash").agg(F.min("key").alias("least"), F.max("key").alias("most"), F.max("known").alias("known"))
     several = written(several.filter("known or least < most").select("hash"), "several")
-    met = lookup_join(passages.filter("not known"), several, ["hash"], "left_semi")
+    met = lookup_join(passages.filter("not known"), several, ["hash"], "left_semi", max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES)
     ranges = matched.filter("hash is null").union(met.select(matched.columns)).select(
         "key", F.struct((F.col("start") + 1).alias("start"), F.col("until").alias("last")).alias("r")
     )

@@ -41,7 +41,7 @@ def change_rows(new: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 
 def apply_changes(old: DataFrame, changed: DataFrame, key: str) -> DataFrame:
     """``old`` brought up to date by ``change_rows``."""
-    untouched = lookup_join(old, changed.select(key), [key], "left_anti", spread_by=F.col(key))
+    untouched = lookup_join(old, changed.select(key), [key], "left_anti", spread=1)
     current = changed.filter(F.col("change_type") != "delete").select(*old.columns)
     return untouched.unionByName(current)
 

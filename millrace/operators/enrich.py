@@ -53,19 +53,20 @@ def classify_by_rules(docs: DataFrame, rules: DataFrame, text: str = "text", lab
     in order, and a text without any known term (or a null one) gets NULL. A label can win with a negative sum, if it alone matches.
 
     Sums are made by digest of the text, and combined before the shuffle. A text that occurs often has its sums multiplied, all by the same number, so
-    the verdict is that of a single one. Texts are not shuffled while the verdicts are few, and spread by their content beyond that.
+    the verdict is that of a single one. Beyond a small broadcast, verdicts and rows are joined by shuffling both, of the rows only columns that are read later.
     """
     if not isinstance(rules.schema["weight"].dataType, IntegralType):
         raise ValueError("weights must be whole numbers, so that sums and ties don't depend on their order")
     known = rules.groupBy("term", "label").agg(F.sum("weight").alias("weight")).filter("term is not null and label is not null")
-    digest = F.sha2(F.col(text), 256)
+    digest = F.unhex(F.sha2(F.col(text), 256))
     said = docs.select(digest.alias("_digest"), F.explode(term_counts(tokens(F.col(text)))).alias("_t"))
     said = said.select("_digest", F.col("_t.term").alias("term"), F.col("_t.tf").alias("tf"))
     sums = lookup_join(said, known, ["term"], spread_by=F.col("_digest")).groupBy("_digest", "label").agg(F.sum(F.col("weight") * F.col("tf")).alias("sum"))
     best = sums.groupBy("_digest").agg(F.min(F.struct((-F.col("sum")).alias("rank"), "label"))["label"].alias("_label"))
     names = [c for c in docs.columns if c != label]
     marked = docs.select(F.struct(*names).alias("_row"), digest.alias("_digest"))
-    found = lookup_join(marked, written(best, "verdicts"), ["_digest"], "left")
+    # There are as many verdicts as texts. A text has one, so where many rows share it, Spark can split them.
+    found = lookup_join(marked, written(best, "verdicts"), ["_digest"], "left", spread=1)
     return found.select("_row.*", F.col("_label").alias(label))
 
 
