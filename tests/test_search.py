@@ -7,6 +7,7 @@ from conftest import plan, rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace import sizing
 from millrace.functions import scoring
 from millrace.operators import evaluate, postings, search
 from millrace.operators.postings import KeywordIndex
@@ -283,6 +284,45 @@ def test_synced_index_equals_a_new_one(spark, larger, tmp_path):
     assert answers(index.top_k(asked, 5)) == answers(_kept(spark, rest).top_k(asked, 5))
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_rows_by_a_bit_for_each_number(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(sizing, "is_small", lambda *_: False)
+    far = 3 << postings.PLACE_BITS
+    known = [0, 1, 7, 8, 9, 32_767, 32_768, 32_769, 65_536, 65_537, far, far + (1 << 33), far + (1 << 33) + 250]
+    wanted = [1, 8, 8, 32_768, 65_537, 70_000, far, far + (1 << 33) + 250]
+    rows_ = spark.createDataFrame([(n, str(n)) for n in [*known, 8]], "no long, t string")
+    numbers = spark.createDataFrame([(n,) for n in wanted], "n long")
+    both = [(n, str(n)) for n in sorted([*known, 8])]
+    assert sorted(map(tuple, postings.with_bit(rows_, F.col("no"), numbers).collect())) == [r for r in both if r[0] in wanted]
+    assert sorted(map(tuple, postings.with_bit(rows_, F.col("no"), numbers, there=False).collect())) == [r for r in both if r[0] not in wanted]
+    assert postings.with_bit(rows_, F.col("no"), numbers.limit(0)).count() == 0
+    assert postings.with_bit(rows_, F.col("no"), numbers.limit(0), there=False).count() == len(both)
+
+
+def test_what_a_sync_broadcasts_does_not_grow_with_the_changes(spark, monkeypatch):
+    sent, keep = [], sizing.is_small
+
+    def small(df, *limits):
+        found = keep(df, *limits)
+        sent.extend([df.count()] * found)
+        return found
+
+    first = spark.range(30_000).select(
+        F.concat(F.lit("c"), "id").alias("chunk_id"), F.lit("d").alias("path"), F.concat(F.lit("w"), F.col("id") % 9).alias("chunk_to_embed")
+    )
+    second = first.filter("chunk_id <> 'c7'").withColumn(
+        "chunk_to_embed", F.when(F.col("chunk_id") < "c3", F.concat("chunk_to_embed", F.lit(" new"))).otherwise(F.col("chunk_to_embed"))
+    )
+    index = _kept(spark, first)
+    monkeypatch.setattr(sizing, "is_small", small)
+    assert index.sync(second) and not index.sync(second)
+    assert index.live().count() == 29_999 and max(sent) < 500
+    new = _kept(spark, second)
+    assert rows(index.frequencies()) == rows(new.frequencies()) and index.totals() == new.totals()
+    assert first.filter("chunk_id < 'c3'").count() > sizing.LOOKUP_ROWS
+
+
 def test_kept_vectors_follow_a_sync(spark, chunks, questions, tmp_path):
     index = search.Index(spark, str(tmp_path))
     index.sync(chunks)
