@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from millrace.operators import changes as ch
@@ -83,6 +83,18 @@ def test_spread_join_equals_broadcast_join(spark, how):
         lookup_join(big, small, ["k"], "right")
 
 
+@pytest.mark.parametrize("wide", [1, 32])
+def test_side_beyond_a_broadcast_is_not_broadcast_by_a_guess(spark, wide):
+    """Spark takes the copies for as small as the file below them; the driver would hold all of them."""
+    path = new_path(spark, "small")
+    spark.range(500).select(F.col("id").alias("k")).write.parquet(path)
+    small, big = spark.read.parquet(path), spark.range(50_000).select((F.col("id") % 1000).alias("k"), "id")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        joined = lookup_join(big, small, ["k"], how, spread_by=F.col("id"), spread=wide, max_rows=100)
+        assert joined.count() == (50_000 if how == "left" else 25_000)
+        assert "SortMergeJoin" in plan(joined) and "Broadcast" not in plan(joined)
+
+
 def test_spread_keeps_rows(spark):
     one = spark.range(100).coalesce(1)
     assert spread(one, "id").rdd.getNumPartitions() > 1
