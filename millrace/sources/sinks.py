@@ -32,9 +32,9 @@ def leftover_files(spark: SparkSession, folder: str, keys: Mapping[str, DataFram
         wanted = df.select(F.col(df.columns[0]).alias(name)).filter(F.col(name).isNotNull()).distinct()
         reader = spark.read.schema(wanted.schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
         rows = reader.parquet(folder).select(name, F.col("_metadata.file_path").alias("file")).filter(F.col(name).isNotNull())
-        # Rows are counted by file and key first, so that a key in many rows is few rows of the join.
+        # Rows are counted by file and key first, so that a key in many rows is few rows of the join, at most one for each file.
         counted = rows.groupBy("file", name).agg(F.count(F.lit(1)).alias("n"))
-        held = lookup_join(counted, wanted, [name], "left_semi", F.col("file"))
+        held = lookup_join(counted, wanted, [name], "left_semi", spread=1)
         found.append(held.groupBy("file", F.lit(name).alias("key_column")).agg(F.sum("n").alias("rows")))
     return reduce(DataFrame.unionByName, found)
 

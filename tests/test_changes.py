@@ -2,11 +2,12 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
+from millrace import sizing
 from millrace.operators import changes as ch
 from millrace.operators import health
 from millrace.session import new_path
 from millrace.sizing import is_small, lookup_join, spread
-from millrace.sources.sinks import ChangeLogTable, VersionedTable
+from millrace.sources.sinks import ChangeLogTable, VersionedTable, leftover_files
 from millrace.streaming.runs import run_to_end
 
 
@@ -95,6 +96,18 @@ def test_side_beyond_a_broadcast_is_not_broadcast_by_a_guess(spark, wide):
         assert "SortMergeJoin" in plan(joined) and "Broadcast" not in plan(joined)
 
 
+def test_keys_beyond_a_broadcast_are_looked_for_without_copies(spark, monkeypatch):
+    folder = new_path(spark, "left")
+    held = spark.range(3000).select(F.when(F.col("id") < 1000, "hot").otherwise(F.col("id").cast("string")).alias("path"))
+    held.coalesce(1).write.parquet(f"{folder}/a")
+    held.filter("path <> 'hot'").coalesce(1).write.parquet(f"{folder}/b")
+    keys = {"path": spark.createDataFrame([("hot",), ("1500",), ("1500",), (None,), ("none",)], "p string")}
+    monkeypatch.setattr(sizing, "is_small", lambda *_: False)
+    left = leftover_files(spark, folder, keys)
+    assert sorted(r.rows for r in left.collect()) == [1, 1001]
+    assert "Broadcast" not in plan(left) and "Generate" not in plan(left)
+
+
 def test_spread_keeps_rows(spark):
     one = spark.range(100).coalesce(1)
     assert spread(one, "id").rdd.getNumPartitions() > 1
