@@ -449,3 +449,53 @@ def test_hit_rates_and_gate(spark):
     assert {r.metric: r.passed for r in gate.collect()} == {"HYBRID": True, "ANN": False, "groundedness": False}
     with pytest.raises(ValueError):
         evaluate.gate(measured, {"HYBRID": 1.5})
+
+
+def test_blocks_are_packed_for_the_shuffle(spark, larger):
+    rows_ = search.index_terms(larger).filter("n_terms > 0").withColumn("no", F.monotonically_increasing_id() * 1_000_003)
+    given = rows_.select("no", F.col("n_terms").cast("int"), "terms").coalesce(1)
+    schema = KeywordIndex(spark, "unused")._schema("blocks")
+    packed = "term string, max_tf int, min_terms int, chunks int, first long, packed binary"
+    for most in (50, 1_000_000):
+        short = given.mapInArrow(scoring.inverter(16, most, packed=True), packed)
+        whole = short.coalesce(1).sortWithinPartitions("term").mapInArrow(scoring.block_merger(16), schema)
+        want = given.mapInArrow(scoring.inverter(16), schema)
+        names = ["term", F.inline("postings")]
+        assert rows(whole.select(*names)) == rows(want.select(*names))
+        assert rows(whole.select("term", "max_tf", "min_terms", "chunks")) == rows(want.select("term", "max_tf", "min_terms", "chunks"))
+    assert short.agg(F.sum(F.length("packed"))).first()[0] < 8 * given.agg(F.sum(F.size("terms"))).first()[0]
+
+
+@pytest.mark.parametrize("value", [0, 1, 127, 128, 16_383, 16_384, 1 << 33, (1 << 63) - 1])
+def test_numbers_of_any_size_are_packed(value):
+    values = np.array([5, value, 300, value])
+    assert scoring._from_varints(scoring._varints(values)[0]).tolist() == values.tolist()
+    assert len(scoring._from_varints(scoring._varints(values[:0])[0])) == 0
+
+
+def test_kept_vectors_are_short_and_read_back(spark, chunks, tmp_path, monkeypatch):
+    """Neither the vectors' own values nor working files stay; what is read is the same from any object."""
+    monkeypatch.setattr(search, "FREQUENT", 4)
+    working = tmp_path / "working"
+    monkeypatch.setattr(search, "new_path", lambda _, label: str(working / label))
+    index = search.Index(spark, str(tmp_path / "index"))
+    index.sync(chunks)
+    frequencies = {r.term: r.frequency for r in index.keyword.frequencies().collect()}
+    best_terms = sorted(frequencies, key=lambda w: -frequencies[w])[:4]
+    assert set(index.weights.frequent) <= set(best_terms) and index.weights.frequent
+    assert list(working.iterdir()) == []
+    kept = spark.read.parquet(str(tmp_path / "index" / "coded"))
+    assert "vector" not in kept.columns and kept.agg(F.sum(F.size("_codes"))).first()[0] > 0 < kept.agg(F.sum(F.size("_rest"))).first()[0]
+    monkeypatch.setattr(search, "FREQUENT", 65_536)
+    exact = search.add_vectors(index.terms.select("chunk_id", "terms"), index.weights)
+    value = ["chunk_id", F.inline("vector")]
+    rounded = lambda df: rows(df.select(*value).select("chunk_id", "dim", F.round("value", 9)))
+    assert rounded(search.Index(spark, str(tmp_path / "index")).vectors) == rounded(exact)
+
+
+def test_frequencies_are_not_broadcast_by_a_guess(spark, index, monkeypatch):
+    seen, keep = [], search.written_to
+    monkeypatch.setattr(search, "written_to", lambda path, df, codec=None: (seen.append(plan(df)), keep(path, df, codec))[1])
+    monkeypatch.setattr(search, "FREQUENT", 3)
+    vectors_ = search.add_vectors(index.terms.select("chunk_id", "terms"), index.weights)
+    assert "SortMergeJoin" in seen[1] and "Broadcast" not in seen[1] and "Broadcast" not in plan(vectors_)
